@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, media, packing, quality, token_counts, warc
+from . import byte_bpe, chat, media, ngram_join, packing, quality, token_counts, warc
 from .runtime import load
 
 
@@ -36,6 +36,10 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.probe(media.store(load(spark, sf_dir, "documents")))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.cluster(load(spark, sf_dir, "documents"), ngram_join.Spec(words=3, num=90, den=100))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(load(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,7 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op5_byte_bpe, op6_media, op8_quality_rules, op9_chat_formatting, op10_warc)
+    f.__name__: f for f in (op2_token_counts, op3_packing, op5_byte_bpe, op6_media, op7_ngram_jaccard, op8_quality_rules, op9_chat_formatting, op10_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {

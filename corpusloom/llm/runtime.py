@@ -114,3 +114,11 @@ def with_columns(
                 yield pa.RecordBatch.from_arrays([x for _, x in rest], names=[n for n, _ in rest])
 
     return keep.mapInArrow(run, out)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files that no table of the next phase reads; it does so when garbage is collected."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
