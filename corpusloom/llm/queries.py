@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, media, ngram_join, packing, quality, token_counts, warc
+from . import byte_bpe, chat, media, ngram_join, packing, quality, substring_dedup, token_counts, warc
 from .runtime import load
 
 
@@ -26,6 +26,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(load(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -61,7 +65,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op5_byte_bpe, op6_media, op7_ngram_jaccard, op8_quality_rules, op9_chat_formatting, op10_warc)
+    f.__name__: f for f in (op2_token_counts, op3_packing, op4_substring_dedup, op5_byte_bpe, op6_media, op7_ngram_jaccard, op8_quality_rules, op9_chat_formatting, op10_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {
