@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, media, ngram_join, packing, quality, substring_dedup, token_counts, warc
+from . import byte_bpe, chat, media, ngram_join, packing, quality, substring_dedup, token_counts, toxicity, warc
 from .runtime import load
 
 
@@ -18,6 +18,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(load(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -65,7 +69,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op4_substring_dedup, op5_byte_bpe, op6_media, op7_ngram_jaccard, op8_quality_rules, op9_chat_formatting, op10_warc)
+    f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_packing, op4_substring_dedup, op5_byte_bpe, op6_media, op7_ngram_jaccard, op8_quality_rules, op9_chat_formatting, op10_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {
