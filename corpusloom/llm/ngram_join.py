@@ -9,10 +9,14 @@ instead. ``allocate`` picks segment counts and kind by cost: signatures, and the
 segments. Such sets (``needy``) also index their empty segments, against which all others' are probed.
 
 A partner shares at least ``s`` (filled segments less ``H``) signatures with a set, so sets with fewer repeated
-signatures than that have none and leave. In each remaining bucket the members are verified against one leader, exactly
-on the sets; buckets whose members aren't in one component then get further leaders, and what is still apart is
-verified pair by pair where the pair shares enough signatures. So no link is lost, a group of near copies costs a few
-verifications for each member, and equal sets, which are one class from the start, none.
+signatures than that have none and leave. The others, mostly near copies, sign once more with ``DENSE`` times as many segments, and only the ``H + 1`` rarest
+signatures of each, in an order that all share, are kept: two linked sets still have one of them in common, while sets
+of a large group that differ too much keep signatures of their own and part. In each remaining bucket the members are
+verified, exactly on the sets, against one leader. What a member and its leader don't share, its difference, decides
+about pairs of members: their symmetric difference is that of their differences. So members that their leader doesn't
+link are joined by the tokens of their differences, under the prefix and position bounds of the overlap that a link
+needs, and these candidates are verified. So no link is lost, a group of near copies costs a verification for each
+member and a few more, and equal sets, one class from the start, none.
 
 Defined cases: null or empty texts have size 0, no links, and themselves as component; fewer words than a shingle
 form one shingle of their own kind; equal texts, whatever their ids, are in one component; rows that share an id are
@@ -28,7 +32,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -36,9 +40,9 @@ from .runtime import map_columns, prepare, release, written
 from .words import hash_words, mixed, run_hashes, signed
 
 #: Rows of a table that may be broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 300_000
-#: Open buckets of at most so many members are finished pair by pair at once; larger ones get leaders first.
-WHOLE_BUCKET = 24
+BROADCAST_ROWS = 20_000
+#: Segments of the second signing, as a multiple of ``H``.
+DENSE = 3
 _RATIO = 1.6
 _MOST = 1 << 40
 
@@ -88,8 +92,9 @@ def _most_apart(spec: Spec, size: int, low: int, high: int) -> int:
 
 
 @lru_cache
-def allocate(spec: Spec) -> tuple[Scheme, ...]:
-    """Schemes of all size bands. Cost of a segment count: signatures, and 10^4 for a needy set."""
+def allocate(spec: Spec, dense: bool = False) -> tuple[Scheme, ...]:
+    """Schemes of all size bands. Cost of a segment count: signatures, and 10^4 for a needy set. ``dense``: of the
+    second signing."""
     out, low = [], 1
     while low < _MOST:
         high = max(low, int(low * _RATIO)) if low > 8 else low
@@ -97,8 +102,8 @@ def allocate(spec: Spec) -> tuple[Scheme, ...]:
             out.append(Scheme(len(out), low, high, 1))
         else:
             need = _most_apart(spec, high, low, spec.largest(high)) + 1
-            if high > 1 << 21:  # beyond any text's size; a fixed share
-                m = int(need * 1.15)
+            if dense or high > 1 << 21:  # beyond any text's size a fixed share too
+                m = int(need * (DENSE if dense else 1.15))
             else:
                 step = max(1, need // 50)
                 m = min(range(need, 3 * need + 8, step),
@@ -121,11 +126,11 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(run_hashes(h, min(n, len(h)), salt=min(n, len(h))))
 
 
-def signatures(tokens: np.ndarray, spec: Spec) -> list[tuple[int, int, bool, np.ndarray, np.ndarray]]:
+def signatures(tokens: np.ndarray, spec: Spec, dense: bool = False) -> list[tuple[int, int, bool, np.ndarray, np.ndarray]]:
     """For each scheme of a set: its index, ``s``, whether it is needy, signatures, and those of empty segments."""
     size, out = len(tokens), []
     own = bisect_right(_lows(spec), size) - 1
-    schemes = allocate(spec)
+    schemes = allocate(spec, dense)
     for k in (own, own - 1):
         if k < 0:
             break
@@ -155,7 +160,7 @@ def signatures(tokens: np.ndarray, spec: Spec) -> list[tuple[int, int, bool, np.
     return out
 
 
-def _sketch(docs: DataFrame, spec: Spec) -> DataFrame:
+def _sketch(docs: DataFrame, spec: Spec, dense: bool = False) -> DataFrame:
     """A row for each document and scheme (one without scheme where it has none); ``first`` marks one per document."""
     fields = [("doc_id", "bigint"), ("n", "bigint"), ("key", "binary"), ("first", "boolean"), ("scheme", "int"), ("s", "bigint"),
               ("needy", "boolean"), ("signs", "array<bigint>"), ("voids", "array<bigint>")]
@@ -166,7 +171,7 @@ def _sketch(docs: DataFrame, spec: Spec) -> DataFrame:
             for doc, text in zip(cols["doc_id"], cols["text"], strict=True):
                 tokens = shingles(text, spec.words)
                 key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-                rows = (signatures(tokens, spec) if len(tokens) else []) or [(-1, 0, False, tokens[:0], tokens[:0])]
+                rows = (signatures(tokens, spec, dense) if len(tokens) else []) or [(-1, 0, False, tokens[:0], tokens[:0])]
                 for i, (k, s, needy, signs, voids) in enumerate(rows):
                     row = (doc, len(tokens), key, not i, k, s, needy, signed(signs), signed(voids))
                     for (n, _), v in zip(fields, row, strict=True):
@@ -184,7 +189,8 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def verify(docs: DataFrame, pairs: DataFrame, spec: Spec) -> DataFrame:
-    """The rows of ``pairs`` (``a``, ``b``) that are linked, decided on the sets themselves."""
+    """``pairs`` (``a``, ``b``) with ``linked``, decided on the sets themselves, their sizes, and the tokens that just one
+    of them has (``apart``)."""
     nodes = written(pairs.selectExpr("a as node").union(pairs.selectExpr("b as node")).distinct())
     wanted = docs.join(_small(nodes), docs["doc_id"] == nodes["node"], "left_semi")
 
@@ -194,20 +200,22 @@ def verify(docs: DataFrame, pairs: DataFrame, spec: Spec) -> DataFrame:
     sets = map_columns(wanted, make_sets, [("node", "bigint"), ("items", "binary")])
     of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
     both = of_b.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
+    fields = [("a", "bigint"), ("b", "bigint"), ("linked", "boolean"), ("size_b", "bigint"), ("apart", "array<bigint>")]
 
     def make_test():
         def step(cols):
-            out: dict[str, list] = {"a": [], "b": []}
+            out: dict[str, list] = {n: [] for n, _ in fields}
             for a, b, x, y in zip(cols["a"], cols["b"], cols["items_a"], cols["items_b"], strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if spec.differ(len(x), len(y)) >= 0 and spec.linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))):
-                    out["a"].append(a)
-                    out["b"].append(b)
+                apart = np.setxor1d(x, y, assume_unique=True)
+                common = (len(x) + len(y) - len(apart)) // 2
+                for (n, _), v in zip(fields, (a, b, spec.linked(len(x), len(y), common), len(y), signed(apart)), strict=True):
+                    out[n].append(v)
             return out
 
         return step
 
-    return written(map_columns(both, make_test, [("a", "bigint"), ("b", "bigint")]).distinct())
+    return map_columns(both, make_test, fields)
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -240,31 +248,65 @@ def cluster(df: DataFrame, spec: Spec, text_col: str = "text", id_col: str = "do
 def _links(spark, docs: DataFrame, signing: DataFrame, spec: Spec) -> DataFrame:
     """Links that connect all that is connected: a spanning part of all links between different sets."""
     rows = signing.select(F.explode("signs").alias("sig"), "node", "scheme", "s")
-    members = written(_shared(rows).select("sig", "node", "scheme", "s"))
+    repeated = _shared(rows).groupBy("node", "scheme").agg(F.count("*").alias("g"), F.max("s").alias("s"))
+    suspects = written(repeated.where("g >= s").select("node").distinct())
     release(spark)
-    for _ in range(2):  # sets with too few repeated signatures have no partner, and their leaving thins buckets out
-        alive = members.groupBy("node", "scheme").agg(F.count("*").alias("g"), F.max("s").alias("s")).where("g >= s").select("node", "scheme")
-        members = written(_shared(members.join(alive, ["node", "scheme"], "left_semi")).select("sig", "node", "scheme", "s", "lead"))
-        release(spark)
-        members, last = members.select("sig", "node", "scheme", "s"), members
-    tested = written(last.where("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b")).union(_needy(signing)).distinct())
-    links = verify(docs, tested, spec)
+    again = docs.join(_small(suspects), docs["doc_id"] == suspects["node"], "left_semi")
+    second = written(_sketch(again, spec, dense=True).where("scheme >= 0").select(F.col("doc_id").alias("node"), "scheme", "s", "needy", "signs", "voids"))
+    members = _shared(_rarest(second))
+    pairs = written(members.where("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
     release(spark)
-    if links.count() == tested.count():  # whatever shares a bucket is linked with its leader
-        return links
-    for turn in range(1, 9):
-        rows = _open(members, links)
-        largest = rows.groupBy("sig").count().agg(F.max("count")).first()[0] or 0
-        whole = largest <= WHOLE_BUCKET or turn == 8
-        pairs = _remaining(rows) if whole else _led(rows, links, turn)
-        fresh = written(pairs.join(tested, ["a", "b"], "left_anti"))
-        if fresh.limit(1).count():
-            links = written(links.union(verify(docs, fresh, spec)).distinct())
-            tested = written(tested.union(fresh))
-        if whole:
-            break
-        release(spark)
-    return links
+    tested = written(verify(docs, pairs, spec))
+    release(spark)
+    rest = written(_needy(signing).union(_needy(second)).union(_among_members(tested, spec)).distinct().join(pairs, ["a", "b"], "left_anti"))
+    links = tested.where("linked").select("a", "b")
+    if rest.limit(1).count():
+        links = links.union(verify(docs, rest, spec).where("linked").select("a", "b"))
+    return written(links.distinct())
+
+
+def _rarest(signing: DataFrame) -> DataFrame:
+    """``sig, node`` of each set's ``H + 1`` rarest signatures. Those that nothing shares are the rarest of all; they take
+    up places, and need no rows."""
+    rows = signing.select("node", "scheme", (F.size("signs") - F.col("s") + 1).alias("places"), F.size("signs").alias("filled"), F.explode("signs").alias("sig"))
+    often = rows.groupBy("sig").agg(F.count("*").alias("df"), F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1").select("sig", "df")
+    ranked = rows.join(often, "sig").groupBy("node", "scheme").agg(
+        F.max("places").alias("places"), F.max("filled").alias("filled"), F.sort_array(F.collect_set(F.struct("df", "sig"))).alias("x"))
+    left = F.greatest(F.lit(0), F.col("places") - (F.col("filled") - F.size("x")))
+    return ranked.select("node", F.explode(F.slice("x", F.lit(1), left.cast("int"))).alias("x")).select("x.sig", "node").distinct()
+
+
+def _most(spec: Spec, a: Column, b: Column) -> Column:
+    """``Spec.differ`` of two sizes as an expression (without its check of the smaller size)."""
+    return a + b - 2 * F.ceil(spec.num * (a + b) / F.lit(spec.num + spec.den))
+
+
+def _among_members(tested: DataFrame, spec: Spec) -> DataFrame:
+    """Candidate pairs of members of one leader that it doesn't link both. With differences of sizes ``x`` and ``y`` and at
+    most ``m`` tokens apart, a link needs ``o = (x + y - m) / 2`` common tokens; in the order of rarity the first common
+    one is then among the first ``x - o + 1`` of one and ``y - o + 1`` of the other."""
+    stars = tested.groupBy("a").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("loose")).where("n > 1 and loose > 0").select("a")
+    rows = written(tested.join(stars, "a", "left_semi").select(
+        F.col("a").alias("lead"), "linked", F.col("b").alias("node"), F.col("size_b").alias("n"), F.size("apart").cast("bigint").alias("x"), "apart"))
+    reach = F.floor(F.col("n") * (spec.den - spec.num) / F.lit(spec.num)) + 1  # more than any partner of this size lets differ
+    tokens = rows.select("lead", "node", F.explode("apart").alias("t"))
+    often = tokens.groupBy("lead", "t").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = tokens.join(often, ["lead", "t"]).groupBy("lead", "node").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("ts"))
+    first = rows.drop("apart").join(ranked, ["lead", "node"]).withColumn("own", F.col("x") - F.size("ts"))
+    placed = first.select("lead", "linked", "node", "n", "x", "own", F.posexplode(F.slice("ts", F.lit(1), F.greatest(F.lit(0), reach + 1 - F.col("own")).cast("int"))).alias("i", "e"))
+    placed = placed.select("lead", "linked", "node", "n", "x", (F.col("own") + F.col("i") + 1).alias("place"), F.col("e.t").alias("t"))
+    p, q = placed.alias("p"), placed.alias("q")
+    need = F.ceil((F.col("p.x") + F.col("q.x") - _most(spec, F.col("p.n"), F.col("q.n"))) / F.lit(2))
+    loose = ~(F.col("p.linked") & F.col("q.linked"))
+    near = (F.col("p.place") <= F.col("p.x") - need + 1) & (F.col("q.place") <= F.col("q.x") - need + 1)
+    by_token = p.join(q, (F.col("p.lead") == F.col("q.lead")) & (F.col("p.t") == F.col("q.t")) & (F.col("p.node") < F.col("q.node")) & loose & near)
+    # Differences so small that no token need be common: by their size.
+    small = rows.where(~F.col("linked") & (F.col("x") <= reach)).select("lead", "node", "n", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), reach - F.col("x"))).alias("y"))
+    r, z = rows.select("lead", "node", "n", "x").alias("r"), small.alias("z")
+    by_size = z.join(r, (F.col("z.lead") == F.col("r.lead")) & (F.col("z.y") == F.col("r.x")) & (F.col("z.node") != F.col("r.node"))
+                     & (F.col("z.x") + F.col("r.x") <= _most(spec, F.col("z.n"), F.col("r.n"))))
+    return by_token.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).union(
+        by_size.select(F.least("z.node", "r.node").alias("a"), F.greatest("z.node", "r.node").alias("b"))).distinct()
 
 
 def _needy(signing: DataFrame) -> DataFrame:
@@ -274,37 +316,6 @@ def _needy(signing: DataFrame) -> DataFrame:
     return voids.join(probe, "sig").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def _open(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows, with components, of the buckets whose members aren't in one component yet."""
-    of = components(links)
-    named = members.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = named.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("sig")
-    return written(named.join(apart, "sig", "left_semi").select("sig", "node", "scheme", "s", "component"))
-
-
-def _led(rows: DataFrame, links: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each open bucket's leader with the members of other components. Odd turns take the member with most links
-    (often the original of a group of copies), even turns another one by hash."""
-    degree = links.selectExpr("a as node").union(links.selectExpr("b as node")).groupBy("node").agg(F.count("*").alias("degree"))
-    ranked = rows.join(degree, "node", "left") if turn % 2 else rows.withColumn("degree", F.lit(0))
-    rank = F.struct(F.coalesce("degree", F.lit(0)), F.xxhash64("node", F.lit(turn)), "node", "component")
-    lead = ranked.groupBy("sig").agg(F.max(rank).alias("top")).select("sig", F.col("top.node").alias("x"), F.col("top.component").alias("xc"))
-    return (
-        rows.join(lead, "sig").where("component <> xc")
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    )
-
-
-def _remaining(rows: DataFrame) -> DataFrame:
-    """All pairs of open buckets that lie in different components and share as many signatures as linked sets do."""
-    x = rows.select("sig", "scheme", F.col("node").alias("a"), F.col("s").alias("sa"), F.col("component").alias("ca"))
-    y = rows.select("sig", F.col("node").alias("b"), F.col("s").alias("sb"), F.col("component").alias("cb"))
-    return (
-        x.join(y, "sig").where("a < b and ca <> cb").groupBy("a", "b", "scheme")
-        .agg(F.count("*").alias("common"), F.max(F.greatest("sa", "sb")).alias("s")).where("common >= s").select("a", "b").distinct()
-    )
-
-
 def keep_one(df: DataFrame, spec: Spec = Spec(), text_col: str = "text", id_col: str = "doc_id") -> DataFrame:  # noqa: B008
     """One row of each component of ``df``, with its columns: that of the smallest id. Rows with a null id stay, and of
     rows that share id and text one does."""
