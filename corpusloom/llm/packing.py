@@ -13,15 +13,21 @@ pieces; repeated rows are packed one after the other; an empty table gives no pi
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
+from unicodedata import normalize
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .byte_bpe import byte_letters
 from .runtime import map_columns, written
 
+_LITTLE = sys.byteorder == "little"
+
 LENGTH = 4096
 END = 2
 #: White-space separated chunks whose ids a worker remembers.
@@ -31,10 +37,13 @@ CACHE = 500_000
 class ChunkEncoder:
     """Ids of texts by a ``tokenizers`` file whose pre-tokenizer drops white space, chunk by chunk.
 
-    Neither normalization nor a pre-token crosses ASCII white space, so the ids of a text are those of its chunks.
-    Ids are kept as 16-bit little-endian bytes.
+    Neither normalization nor a pre-token crosses ASCII white space, so the ids of a text are those of its chunks. A new
+    chunk of letters and trailing ASCII punctuation is two pre-tokens whose ids are looked up apart; a new letter run is
+    normalized here and goes to the tokenizer's model at once. Ids are kept as 16-bit little-endian bytes.
     """
 
+    TAIL = ".,;:!?|"
+
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the executor's cores are taken by other tasks
         from tokenizers import Tokenizer
@@ -42,14 +51,54 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         if self.tokenizer.get_vocab_size(True) > 65536:
             raise ValueError("ids must fit 16 bits")
+        self._model = self.tokenizer.model
+        self._bytes = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
+        #: Whether letter runs may skip the tokenizer's own steps; tried on words of several scripts.
+        self._direct = all(self._letters(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("Aé", "straße", "ΑΒ", "中文", "Ñandú", "x"))
         self._known: dict[bytes, bytes] = {}
+        self._runs: dict[str, bytes] = {}
+
+    def _encode(self, items: list[str]) -> list[bytes]:
+        got = self.tokenizer.encode_batch(items, add_special_tokens=False)
+        return [np.array(e.ids, "<u2").tobytes() for e in got]
+
+    def _letters(self, run: str) -> list[int] | None:
+        """Ids of a run of letters: composed, lower-cased letter by letter, as bytes through the model."""
+        low = run.lower() if run.isascii() else "".join([c.lower() for c in normalize("NFC", run)])
+        if not low.isalpha():  # lower-casing made a mark
+            return None
+        return [t.id for t in self._model.tokenize(low.encode().decode("latin-1").translate(self._bytes))]
+
+    def _fill(self, missing: list[bytes]) -> dict[bytes, bytes]:
+        runs, rest, found = self._runs, [], {}
+        room = len(runs) < CACHE
+        for chunk in missing:
+            s = chunk.decode()
+            run = s.rstrip(self.TAIL)
+            ids = None
+            if self._direct and run.isalpha():
+                key = run.lower() if run.isascii() else run
+                ids = runs.get(key)
+                if ids is None and (new := self._letters(run)) is not None:
+                    ids = array("H", new).tobytes() if _LITTLE else np.array(new, "<u2").tobytes()
+                    if room:
+                        runs[key] = ids
+            if ids is None:
+                rest.append(chunk)
+            elif len(run) < len(s):
+                tail = s[len(run) :]
+                if tail not in runs:
+                    runs[tail] = self._encode([tail])[0]
+                found[chunk] = ids + runs[tail]
+            else:
+                found[chunk] = ids
+        found |= zip(rest, self._encode([c.decode() for c in rest]), strict=True)
+        return found
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         known = self._known
         chunks = [t.encode().split() if t else [] for t in texts]
-        missing = list({c for cs in chunks for c in cs if c not in known})
-        got = self.tokenizer.encode_batch([c.decode() for c in missing], add_special_tokens=False)
-        new = {c: np.array(e.ids, "<u2").tobytes() for c, e in zip(missing, got, strict=True)}
+        new = self._fill(list({c for cs in chunks for c in cs if c not in known}))
         if len(known) < CACHE:
             known.update(new)
         return [b"".join([known[c] if c in known else new[c] for c in cs]) for cs in chunks]
