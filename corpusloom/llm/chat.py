@@ -70,42 +70,43 @@ def _same(a: str, b: str, *cols: tuple[str, str]) -> Column:
     return cond
 
 
-def jumps(nodes: DataFrame) -> list[DataFrame]:
-    """From ``tree, node, parent, score`` the tables ``tree, node, up, steps, total``: table r reaches 2^r steps up, or
-    the root (``up`` null). The last one reaches all roots, with a path's length and score. Parents that don't exist
-    count as none; a cycle has no root and raises an error."""
+def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """From ``tree, node, parent, score`` the jump tables ``tree, node, up`` (table r reaches 2^r steps up; nodes nearer
+    to the root aren't in it), and for all nodes ``tree, node, steps, total``, their paths' length and score. A round
+    joins only what hasn't reached its root. Parents that don't exist count as none; a cycle raises an error."""
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"))
-    first = (
+    now = written(
         nodes.alias("n").join(known.alias("k"), _same("n", "k", ("tree", "t")) & (F.col("n.parent") == F.col("k.p")), "left")
         .select("n.tree", "n.node", F.col("k.p").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("n.score").alias("total"))
     )
-    tables = [written(first)]
-    while tables[-1].where("up is not null").limit(1).count():
+    tables, ended = [], now.where("up is null")
+    while (active := now.where("up is not null")).limit(1).count():
         if len(tables) > 40:
             raise ValueError("the replies form a cycle")
-        now = tables[-1]
-        reach = now.select(F.col("tree").alias("t"), F.col("node").alias("m"), F.col("up").alias("up2"),
-                           F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        tables.append(written(
-            now.alias("a").join(reach.alias("b"), _same("a", "b", ("tree", "t")) & (F.col("a.up") == F.col("b.m")), "left")
-            .select("a.tree", "a.node", F.col("b.up2").alias("up"),
-                    (F.col("a.steps") + F.coalesce("b.steps2", F.lit(0))).alias("steps"),
-                    (F.col("a.total") + F.coalesce("b.total2", F.lit(0.0))).alias("total"))
-        ))
-    return tables
+        tables.append(active.select("tree", "node", "up"))
+        reach = ended.unionByName(active).select(
+            F.col("tree").alias("t"), F.col("node").alias("m"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
+        now = written(
+            active.alias("a").join(reach.alias("b"), _same("a", "b", ("tree", "t")) & (F.col("a.up") == F.col("b.m")))
+            .select("a.tree", "a.node", F.col("b.up2").alias("up"), (F.col("a.steps") + F.col("b.steps2")).alias("steps"),
+                    (F.col("a.total") + F.col("b.total2")).alias("total"))
+        )
+        ended = ended.unionByName(now.where("up is null"))
+    return tables, ended.select("tree", "node", "steps", "total")
 
 
 def best_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     """The ``top`` branches of each tree by mean score (ties: the smaller leaf): ``tree, leaf, branch, node, position``."""
-    tables = jumps(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")))
-    first, last = tables[0], tables[-1]
-    inner = first.select(F.col("tree").alias("t"), F.col("up").alias("p")).where("p is not null").distinct()
-    leaves = last.alias("l").join(inner.alias("i"), _same("l", "i", ("tree", "t")) & (F.col("l.node") == F.col("i.p")), "left_anti")
+    tables, last = jumps(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")))
+    leaves = last
+    if tables:
+        inner = tables[0].select(F.col("tree").alias("t"), F.col("up").alias("p")).distinct()
+        leaves = last.alias("l").join(inner.alias("i"), _same("l", "i", ("tree", "t")) & (F.col("l.node") == F.col("i.p")), "left_anti")
     best = Window.partitionBy("tree").orderBy((F.col("total") / F.col("steps")).desc(), "node")
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= top)
     members = chosen.select("tree", F.col("node").alias("leaf"), "branch", "node", F.col("steps").alias("depth"), F.lit(0).cast("long").alias("back"))
-    for r, table in enumerate(tables[:-1]):
-        step = table.select(F.col("tree").alias("t"), F.col("node").alias("m"), "up").where("up is not null")
+    for r, table in enumerate(tables):
+        step = table.select(F.col("tree").alias("t"), F.col("node").alias("m"), "up")
         higher = members.alias("a").join(step.alias("b"), _same("a", "b", ("tree", "t")) & (F.col("a.node") == F.col("b.m")))
         members = written(members.unionByName(higher.select(
             "a.tree", "a.leaf", "a.branch", F.col("b.up").alias("node"), "a.depth", (F.col("a.back") + (1 << r)).alias("back"))))
