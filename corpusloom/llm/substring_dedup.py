@@ -9,8 +9,9 @@ streamed through it, and the spans whose match is at least a window long and occ
 more than ``SHARD`` contexts, such as a phrase of thousands of documents, would make a shard that grows with the
 corpus; their windows are counted by hash instead, which combines before its shuffle and has no bound.
 
-Equal texts are one text with a weight, so large groups of copies cost one. Texts are shuffled twice by their hash
-(context words, then removal); only narrow rows move otherwise.
+Contexts are known by anchor and a 64-bit hash each, texts by a number until their hash is needed. Texts are shuffled
+twice by that hash (context words, then removal); only narrow rows move otherwise. All joined tables grow with the
+corpus, so every join is by sort and merge.
 
 Defined cases: null is an empty text; texts shorter than a window keep all words; a text that occurs twice loses all
 its words if it has a window; repeated rows count as copies; kept words are joined by one space.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,6 @@ WINDOW = 35
 K = 12
 #: Contexts of one anchor that a task may hold as an automaton, some 50 words each.
 SHARD = 2000
-#: Rows of a table that may be broadcast.
-BROADCAST_ROWS = 300_000
 
 
 class SuffixAutomaton:
@@ -103,101 +103,85 @@ class SuffixAutomaton:
 
 
 def contexts(words: np.ndarray, window: int, k: int) -> list[np.ndarray]:
-    """Of a text's word hashes, for each context: anchor, first window, number of windows, hash (two longs), and
-    whether the anchor occurs in it twice, so that a window might recur inside."""
+    """Of a text's word hashes, for each context: anchor, first window, number of windows, hash, and whether the anchor
+    occurs in it twice, so that a window might recur inside."""
     m = len(words) - window + 1
     if m <= 0:
         none = np.zeros(0, np.int64)
-        return [none, none, none, none, none, none.astype(bool)]
+        return [none, none, none, none, none.astype(bool)]
     runs = run_hashes(words, k)
     least = sliding_min(runs, window - k + 1)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     size = np.diff(np.append(first, m))
     raw = words.tobytes()
-    digest = b"".join([xxhash.xxh3_128_digest(raw[8 * a : 8 * (a + n + window - 1)]) for a, n in zip(first.tolist(), size.tolist(), strict=True)])
-    pair = np.frombuffer(digest, np.int64)
+    hashes = [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * (a + n + window - 1)]) for a, n in zip(first.tolist(), size.tolist(), strict=True)]
     anchor = least[first]
     twice = np.zeros(len(first), bool)
     values, seen = np.unique(runs, return_counts=True)
     if len(values) < len(runs):
         for i in np.flatnonzero(np.isin(anchor, values[seen > 1])):
             twice[i] = int((runs[first[i] : first[i] + size[i] + window - k] == anchor[i]).sum()) > 1
-    return [anchor.view(np.int64), first, size, pair[::2], pair[1::2], twice]
+    return [anchor.view(np.int64), first, size, np.array(hashes, np.uint64).view(np.int64), twice]
 
 
 def _keyed(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn("__text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).withColumn("__key", F.unhex(F.md5("__text")))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def spans(df: DataFrame, text_col: str = "text", window: int = WINDOW, k: int = K, shard: int = SHARD) -> DataFrame:
     """Repeated windows of each text with any: ``__key`` (of the text), ``starts`` and ``sizes`` (runs of windows)."""
     spark = prepare(df.sparkSession)
     docs = _keyed(df, text_col).select("__key", "__text")
-    fields = [("key", "binary"), ("n_words", "bigint"), ("h", "array<bigint>"), ("first", "array<bigint>"), ("size", "array<bigint>"),
-              ("c1", "array<bigint>"), ("c2", "array<bigint>"), ("twice", "array<int>")]
+    fields = [("n", "bigint"), ("key", "binary"), ("h", "array<bigint>"), ("first", "array<bigint>"), ("size", "array<bigint>"),
+              ("c", "array<bigint>"), ("twice", "array<int>")]
 
     def make_sketch():
+        number = TaskContext.get().partitionId() << 40
+
         def step(cols):
+            nonlocal number
             out: dict[str, list] = {n: [] for n, _ in fields}
             for key, text in zip(cols["__key"], cols["__text"], strict=True):
-                words = hash_words(split_words(text))
-                h, first, size, c1, c2, twice = contexts(words, window, k)
-                for (n, _), v in zip(fields, (key, len(words), h, first, size, c1, c2, twice.astype(np.int32)), strict=True):
-                    out[n].append(v)
+                h, first, size, c, twice = contexts(hash_words(split_words(text)), window, k)
+                number += 1
+                if len(h):
+                    for (n, _), v in zip(fields, (number, key, h, first, size, c, twice.astype(np.int32)), strict=True):
+                        out[n].append(v)
             return out
 
         return step
 
-    sketch = written(map_columns(docs, make_sketch, fields).where(f"n_words >= {window}"))
-    copies = written(sketch.groupBy("key").agg(F.count("*").alias("copies"), F.first("n_words").alias("n_words")).where("copies > 1"))
-    marked = sketch.join(_small(copies.select("key", "copies")), "key", "left")
-    single = marked.where("copies is null").select("key", F.lit(1).alias("weight"), "h", "first", "size", "c1", "c2", "twice")
-    several = marked.where("copies is not null").dropDuplicates(["key"]).select("key", F.lit(2).alias("weight"), *single.columns[2:])
-    rows = single.unionByName(several).select("key", "weight", F.explode(F.arrays_zip("h", "first", "size", "c1", "c2", "twice")).alias("x")).select("key", "weight", "x.*")
-
-    kinds = written(rows.groupBy("h", "c1", "c2").agg(F.sum("weight").alias("occurs"), F.max("twice").alias("twice")))
+    sketch = written(map_columns(docs, make_sketch, fields))
+    texts = written(sketch.groupBy("key").agg(F.min("n").alias("n")))  # of equal texts the first speaks for all
+    rows = sketch.select("n", F.explode(F.arrays_zip("h", "c", "first", "size", "twice")).alias("x")).select("n", "x.*")
+    kinds = written(rows.groupBy("h", "c").agg(F.count("*").alias("occurs"), F.max("twice").alias("twice")))
     anchors = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.max("twice").alias("any")).where("kinds > 1 or any = 1").select("h", "kinds")
     wanted = written(
-        kinds.join(_small(written(anchors)), "h", "left").where("kinds is not null or occurs > 1")
-        .select("h", "c1", "c2", (F.col("occurs") > 1).alias("settled"), F.coalesce("kinds", F.lit(1)).alias("kinds"), F.col("kinds").isNotNull().alias("open"))
+        kinds.join(anchors.hint("merge"), "h", "left").where("kinds is not null or occurs > 1")
+        .select("h", "c", (F.col("occurs") > 1).alias("settled"), F.coalesce("kinds", F.lit(1)).alias("kinds"), F.col("kinds").isNotNull().alias("open"))
     )
     release(spark)
-    # Where wanted contexts lie. A context with copies is repeated as a whole; it is also reference for others.
-    places = written(
-        rows.join(_small(wanted), ["h", "c1", "c2"])
-        .select("key", "weight", "h", "c1", "c2", "first", "size", "settled", "kinds", "open")
-    )
+    # Where wanted contexts lie. A context that occurs twice is repeated as a whole; it is also reference for others.
+    places = written(rows.drop("twice").join(wanted.hint("merge"), ["h", "c"]))
     release(spark)
-    whole = places.where("settled and weight = 1").select("key", F.col("first").alias("start"), "size")
-    whole = whole.unionByName(copies.select("key", F.lit(0).cast("bigint").alias("start"), (F.col("n_words") - (window - 1)).alias("size")))
-
-    open_places = places.where("open")
-    shown = _context_words(docs, open_places, window)
+    shown = _context_words(docs, places.where("open").join(texts.hint("merge"), "n"), window)
     found = written(_by_automata(shown.where(f"kinds <= {shard}"), window).unionByName(_by_windows(shown.where(f"kinds > {shard}"), window)))
     release(spark)
-    parts = (
-        open_places.where("not settled and weight = 1").select("key", "h", "c1", "c2", "first")
-        .join(found, ["h", "c1", "c2"]).select("key", (F.col("first") + F.col("at")).alias("start"), F.col("span").alias("size"))
-    )
+    whole = places.where("settled").select("n", F.col("first").alias("start"), "size")
+    parts = places.where("open and not settled").join(found.hint("merge"), ["h", "c"]).select("n", (F.col("first") + F.col("at")).alias("start"), F.col("span").alias("size"))
     return (
-        whole.unionByName(parts).groupBy("key").agg(F.collect_list(F.struct("start", "size")).alias("x"))
+        whole.unionByName(parts).groupBy("n").agg(F.collect_list(F.struct("start", "size")).alias("x")).join(texts.hint("merge"), "n")
         .select(F.col("key").alias("__key"), F.col("x.start").alias("starts"), F.col("x.size").alias("sizes"))
     )
 
 
 def _context_words(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """``h, c1, c2, kinds, words`` of each different open context (64-bit word hashes)."""
-    # One place of each context is enough.
-    one = places.groupBy("h", "c1", "c2").agg(F.min(F.struct("key", "first", "size", "kinds")).alias("p")).select("h", "c1", "c2", "p.*")
-    asked = one.groupBy("key").agg(F.collect_list(F.struct("h", "c1", "c2", "first", "size", "kinds")).alias("x")).select(
-        "key", *[F.col(f"x.{n}").alias(n) for n in ("h", "c1", "c2", "first", "size", "kinds")])
-    asked = written(asked)
-    texts = docs.join(_small(asked), docs["__key"] == asked["key"])
-    fields = [("key", "binary"), ("h", "bigint"), ("c1", "bigint"), ("c2", "bigint"), ("kinds", "bigint"), ("words", "binary")]
+    """``h, c, kinds, words`` of each different open context (64-bit word hashes), from one place of it."""
+    one = places.groupBy("h", "c").agg(F.min(F.struct("key", "first", "size", "kinds")).alias("p")).select("h", "c", "p.*")
+    asked = one.groupBy("key").agg(F.collect_list(F.struct("h", "c", "first", "size", "kinds")).alias("x")).select(
+        "key", *[F.col(f"x.{n}").alias(n) for n in ("h", "c", "first", "size", "kinds")])
+    texts = docs.join(asked.hint("merge"), docs["__key"] == asked["key"])
+    fields = [("h", "bigint"), ("c", "bigint"), ("kinds", "bigint"), ("words", "binary")]
 
     def make():
         def step(cols):
@@ -208,20 +192,19 @@ def _context_words(docs: DataFrame, places: DataFrame, window: int) -> DataFrame
                     continue
                 done.add(key)
                 raw = hash_words(split_words(text)).tobytes()
-                for h, c1, c2, first, size, kinds in zip(*(cols[c][i] for c in ("h", "c1", "c2", "first", "size", "kinds")), strict=True):
-                    row = (key, h, c1, c2, kinds, raw[8 * first : 8 * (first + size + window - 1)])
-                    for (n, _), v in zip(fields, row, strict=True):
+                for h, c, first, size, kinds in zip(*(cols[x][i] for x in ("h", "c", "first", "size", "kinds")), strict=True):
+                    for (n, _), v in zip(fields, (h, c, kinds, raw[8 * first : 8 * (first + size + window - 1)]), strict=True):
                         out[n].append(v)
             return out
 
         return step
 
     # A text with copies gives its contexts once a batch; what is left of repeats goes with the aggregate.
-    got = map_columns(texts.select("key", "__text", "h", "c1", "c2", "first", "size", "kinds"), make, fields)
-    return written(got.groupBy("h", "c1", "c2").agg(F.first("kinds").alias("kinds"), F.first("words").alias("words")))
+    got = map_columns(texts.select("key", "__text", "h", "c", "first", "size", "kinds"), make, fields)
+    return written(got.groupBy("h", "c").agg(F.first("kinds").alias("kinds"), F.first("words").alias("words")))
 
 
-_FOUND = [("h", "bigint"), ("c1", "bigint"), ("c2", "bigint"), ("at", "bigint"), ("span", "bigint")]
+_FOUND = [("h", "bigint"), ("c", "bigint"), ("at", "bigint"), ("span", "bigint")]
 
 
 def _runs(starts) -> Iterator[tuple[int, int]]:
@@ -241,23 +224,23 @@ def _by_automata(shown: DataFrame, window: int) -> DataFrame:
     """Runs of repeated windows in each context, by one automaton per anchor. Anchors stream in key order."""
     schema = arrow_schema(_FOUND)
 
-    def judge(group: list[tuple[int, int, int, list[int]]], out: list[tuple]) -> None:
+    def judge(group: list[tuple[int, int, list[int]]], out: list[tuple]) -> None:
         automaton = SuffixAutomaton()
-        for _, _, _, words in group:
+        for _, _, words in group:
             automaton.add(words)
         automaton.finish()
-        for h, c1, c2, words in group:
-            out += [(h, c1, c2, at, n) for at, n in _runs(automaton.repeated(words, window))]
+        for h, c, words in group:
+            out += [(h, c, at, n) for at, n in _runs(automaton.repeated(words, window))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple[int, int, int, list[int]]] = []
+        group: list[tuple[int, int, list[int]]] = []
         out: list[tuple] = []
         for batch in batches:
-            for h, c1, c2, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for h, c, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if group and group[0][0] != h:
                     judge(group, out)
                     group = []
-                group.append((h, c1, c2, np.frombuffer(raw, np.int64).tolist()))
+                group.append((h, c, np.frombuffer(raw, np.int64).tolist()))
             if len(out) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
                 out = []
@@ -266,35 +249,35 @@ def _by_automata(shown: DataFrame, window: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    dealt = shown.select("h", "c1", "c2", "words").repartition("h").sortWithinPartitions("h")
+    dealt = shown.select("h", "c", "words").repartition("h").sortWithinPartitions("h")
     return dealt.mapInArrow(run, ddl(_FOUND))
 
 
 def _by_windows(shown: DataFrame, window: int) -> DataFrame:
     """The same for anchors with too many contexts: windows counted by 128-bit hash."""
-    fields = [("h", "bigint"), ("c1", "bigint"), ("c2", "bigint"), ("at", "bigint"), ("w", "binary")]
+    fields = [("h", "bigint"), ("c", "bigint"), ("at", "bigint"), ("w", "binary")]
 
     def make():
         def step(cols):
             out: dict[str, list] = {n: [] for n, _ in fields}
-            for h, c1, c2, raw in zip(cols["h"], cols["c1"], cols["c2"], cols["words"], strict=True):
+            for h, c, raw in zip(cols["h"], cols["c"], cols["words"], strict=True):
                 for at in range(len(raw) // 8 - window + 1):
-                    for (n, _), v in zip(fields, (h, c1, c2, at, xxhash.xxh3_128_digest(raw[8 * at : 8 * (at + window)])), strict=True):
+                    for (n, _), v in zip(fields, (h, c, at, xxhash.xxh3_128_digest(raw[8 * at : 8 * (at + window)])), strict=True):
                         out[n].append(v)
             return out
 
         return step
 
-    every = map_columns(shown.select("h", "c1", "c2", "words"), make, fields)
+    every = map_columns(shown.select("h", "c", "words"), make, fields)
     again = every.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
-    return every.join(again, "w", "left_semi").select("h", "c1", "c2", "at", F.lit(1).cast("bigint").alias("span"))
+    return every.join(again, "w", "left_semi").select("h", "c", "at", F.lit(1).cast("bigint").alias("span"))
 
 
 def _marked(df: DataFrame, text_col: str, window: int, k: int, shard: int) -> DataFrame:
     """``df`` with ``__text``, ``__key``, and ``starts`` and ``sizes`` where its text has repeated windows."""
     found = written(spans(df, text_col, window, k, shard))
     release(df.sparkSession)
-    return _keyed(df, text_col).join(_small(found), "__key", "left")
+    return _keyed(df, text_col).join(found.hint("merge"), "__key", "left")
 
 
 def _kept(text: str, starts: list[int] | None, sizes: list[int] | None, window: int) -> tuple[int, list[bytes]]:
