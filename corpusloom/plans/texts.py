@@ -187,9 +187,14 @@ def resume(t: Tables) -> DataFrame:
         mark(left.join(outputs, "doc_id", "left_anti"), "planned"))
 
 
-@query("A1_corpus_hash", "select sha256(string_agg(doc_id || ':' || sha256(coalesce(text, ''))[:16], ',' order by doc_id))[:16] as corpus_hash from documents")
+@query("A1_corpus_hash", """
+    with h0 as (select doc_id as k, sha256(coalesce(text, ''))[:16] as h from documents), h1 as (select k // 1000 as k, sha256(string_agg(k || ':' || h, ',' order by k, h))[:16] as h from h0 group by 1),
+    h2 as (select k // 1000 as k, sha256(string_agg(k || ':' || h, ',' order by k, h))[:16] as h from h1 group by 1)
+    select sha256(string_agg(k || ':' || h, ',' order by k, h))[:16] as corpus_hash from h2""")
 def corpus_hash(t: Tables) -> DataFrame:
-    """One hash of all (id, hash) pairs, in order. Ranges are hashed apart only in what they list, never in texts."""
-    pairs = t.documents.select("doc_id", F.concat_ws(":", "doc_id", text.short_hash(F.coalesce("text", F.lit("")), 16)).alias("p"))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "p"))), lambda e: e["p"]), ",")
-    return pairs.agg(text.short_hash(joined, 16).alias("corpus_hash"))
+    """A hash that any edit changes: a tree over ids, a thousand children a node, so that no task lists all documents."""
+    level = t.documents.select(F.col("doc_id").alias("k"), text.short_hash(F.coalesce("text", F.lit("")), 16).alias("h"))
+    joined = text.short_hash(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "h"))), lambda e: F.concat_ws(":", e["k"], e["h"])), ","), 16)
+    for _ in range(2):
+        level = level.groupBy(F.floor(F.col("k") / 1000).cast("long").alias("b")).agg(joined.alias("h")).withColumnRenamed("b", "k")
+    return level.agg(joined.alias("corpus_hash"))
