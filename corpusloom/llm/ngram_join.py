@@ -248,11 +248,13 @@ def cluster(df: DataFrame, spec: Spec, text_col: str = "text", id_col: str = "do
 def _links(spark, docs: DataFrame, signing: DataFrame, spec: Spec) -> DataFrame:
     """Links that connect all that is connected: a spanning part of all links between different sets."""
     rows = signing.select(F.explode("signs").alias("sig"), "node", "scheme", "s")
-    repeated = _shared(rows).groupBy("node", "scheme").agg(F.count("*").alias("g"), F.max("s").alias("s"))
+    again = written(rows.groupBy("sig").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1").select("sig"))
+    release(spark)  # the first deal of all signatures goes before the second comes
+    repeated = rows.join(again, "sig").groupBy("node", "scheme").agg(F.count("*").alias("g"), F.max("s").alias("s"))
     suspects = written(repeated.where("g >= s").select("node").distinct())
     release(spark)
-    again = docs.join(_small(suspects), docs["doc_id"] == suspects["node"], "left_semi")
-    second = written(_sketch(again, spec, dense=True).where("scheme >= 0").select(F.col("doc_id").alias("node"), "scheme", "s", "needy", "signs", "voids"))
+    near = docs.join(_small(suspects), docs["doc_id"] == suspects["node"], "left_semi")
+    second = written(_sketch(near, spec, dense=True).where("scheme >= 0").select(F.col("doc_id").alias("node"), "scheme", "s", "needy", "signs", "voids"))
     members = _shared(_rarest(second))
     pairs = written(members.where("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
     release(spark)
