@@ -104,52 +104,36 @@ def _count(items: Column, test) -> Column:
     return F.size(F.filter(items, test)).cast("long")
 
 
-def features(text: Column) -> dict[str, Column]:
-    """Counts and ratios of a text; the counts are longs."""
+def features(text: Column) -> Column:
+    """Counts and ratios of a text as one struct. Words and lines are split once, whatever reads the struct."""
     t = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(t, WHITE), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, " \t\x0b\x0c\r", "") != "")
-    letters = F.translate(t, " \t\n\x0b\x0c\r", "")
-    return {
-        "words": words,
-        "word_chars": F.length(letters).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-        "lines": lines,
-        "n_stop": _count(words, lambda w: F.lower(F.rtrim(w, F.lit(_TRIM))).isin(*STOP_WORDS)),
-        "n_upper": F.length(F.regexp_replace(t, "[^A-ZÀ-ÖØ-Þ]+", "")).cast("long"),
-        "n_repeat_words": _repeat_words(words).cast("long"),
-    }
 
+    def over(x: Column) -> Column:
+        ws, ls, t = x["words"], x["lines"], x["t"]
+        return F.struct(
+            F.size(ws).cast("long").alias("n_words"), F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+            (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"), _repeat_words(ws).cast("long").alias("n_repeat_words"),
+            _count(ws, lambda w: F.lower(F.rtrim(w, F.lit(_TRIM))).isin(*STOP_WORDS)).alias("n_stop"),
+            F.length(F.regexp_replace(t, "[^A-ZÀ-ÖØ-Þ]+", "")).cast("long").alias("n_upper"), F.size(ls).cast("long").alias("n_lines"),
+            _count(ls, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")).alias("n_ellipsis"),
+            _count(ls, lambda x: F.substring(F.ltrim(x), 1, 1).isin("-", "*", "•")).alias("n_bullets"),
+        )
 
-def assess(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, min_words: int = MIN_WORDS,
-           max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
-    """``df`` with counts, ``failed_rules`` (names), ``base_failed`` and ``kept``."""
-    f = features(F.col(f"`{text_col}`"))
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rules", "kept"]
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in own]
-    a = df.select(
-        *rest, *[f[c].alias(f"__{c}") for c in ("words", "lines")],
-        *[f[c].alias(f"__{c}") for c in ("word_chars", "n_symbols", "n_stop", "n_upper", "n_repeat_words")],
-    )
-    n, n_lines = F.size("__words").cast("long"), F.size("__lines").cast("long")
-    a = a.select(
-        *rest, *[F.col(c) for c in a.columns if c.startswith("__")], n.alias("__n"), n_lines.alias("__n_lines"),
-        (n_lines - F.size(F.array_distinct("__lines"))).alias("__dup"),
+    split = F.struct(
+        F.filter(F.split(t, WHITE), lambda w: w != "").alias("words"),
+        F.filter(F.split(t, "\n"), lambda x: F.translate(x, " \t\x0b\x0c\r", "") != "").alias("lines"), t.alias("t"),
     )
+    return _let(split, over)
+
+
+def _verdict(f: Column, rules: tuple[Rule, ...], min_words: int, max_repeat_percent: int) -> tuple[Column, Column]:
+    """Whether the base rules fail, and the names of the table's rules that do."""
     ratios = {
-        "mean_word_chars": _ratio(F.col("__word_chars"), F.col("__n")),
-        "symbol_ratio": _ratio(F.col("__n_symbols"), F.col("__n")),
-        "stop_ratio": _ratio(F.col("__n_stop"), F.col("__n")),
-        "upper_ratio": _ratio(F.col("__n_upper"), F.col("__word_chars")),
-        "dup_line_ratio": _ratio(F.col("__dup"), F.col("__n_lines")),
-        "ellipsis_line_ratio": _ratio(
-            _count(F.col("__lines"), lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")), F.col("__n_lines")
-        ),
-        "bullet_line_ratio": _ratio(
-            _count(F.col("__lines"), lambda x: F.substring(F.ltrim(x), 1, 1).isin("-", "*", "•")), F.col("__n_lines")
-        ),
-    }
-    base = (F.col("__n") < min_words) | (100 * F.col("__n_repeat_words") > max_repeat_percent * F.col("__n"))
+        "mean_word_chars": _ratio(f["word_chars"], f["n_words"]), "symbol_ratio": _ratio(f["n_symbols"], f["n_words"]), "stop_ratio": _ratio(f["n_stop"], f["n_words"]),
+        "upper_ratio": _ratio(f["n_upper"], f["word_chars"]), "dup_line_ratio": _ratio(f["n_dup_lines"], f["n_lines"]),
+        "ellipsis_line_ratio": _ratio(f["n_ellipsis"], f["n_lines"]), "bullet_line_ratio": _ratio(f["n_bullets"], f["n_lines"]),
+    }
     failed = []
     for r in rules:
         x, bad = ratios[r.feature], F.lit(False)
@@ -158,20 +142,35 @@ def assess(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
         if r.most is not None:
             bad = bad | (x > r.most)
         failed.append(F.when(bad, F.lit(r.name)))
-    a = a.select(
-        *rest, F.col("__n").alias("n_words"), F.col("__word_chars").alias("word_chars"),
-        F.col("__n_symbols").alias("n_symbols"), F.col("__dup").cast("long").alias("n_dup_lines"),
-        F.col("__n_repeat_words").alias("n_repeat_words"), base.alias("base_failed"),
-        F.array_compact(F.array(*failed)).alias("failed_rules"),
-    )
+    base = (f["n_words"] < min_words) | (100 * f["n_repeat_words"] > max_repeat_percent * f["n_words"])
+    return base, F.array_compact(F.array(*failed))
+
+
+def assess(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, min_words: int = MIN_WORDS,
+           max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
+    """``df`` with counts, ``failed_rules`` (names), ``base_failed`` and ``kept``."""
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    own = [*counts, "base_failed", "failed_rules", "kept"]
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in own]
+
+    def judged(f: Column) -> Column:
+        base, failed = _verdict(f, rules, min_words, max_repeat_percent)
+        return F.struct(*[f[c].alias(c) for c in counts], base.alias("base_failed"), failed.alias("failed_rules"))
+
+    a = df.select(*rest, _let(features(F.col(f"`{text_col}`")), judged).alias("__f"))
+    a = a.select(*rest, *[F.col(f"__f.{c}").alias(c) for c in own[:-1]])
     return a.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 
-def keep_good(df: DataFrame, text_col: str = "text", **kw) -> DataFrame:
-    """Rows of ``df`` that every rule accepts, with the columns of ``df``."""
-    named = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
-    got = assess(named, f"c{df.columns.index(text_col)}", **kw).where("kept")
-    return got.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+def keep_good(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, min_words: int = MIN_WORDS,
+              max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
+    """Rows of ``df`` that every rule accepts, with the columns of ``df``: one filter, whose features are computed once."""
+
+    def good(f: Column) -> Column:
+        base, failed = _verdict(f, rules, min_words, max_repeat_percent)
+        return ~base & (F.size(failed) == 0)
+
+    return df.where(_let(features(F.col(f"`{text_col}`")), good))
 
 
 def _sql_between(r: Rule, x: str) -> str:
