@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import map_columns, prepare, release, written
+from .runtime import map_columns, prepare, release, scratch, written
 from .words import hash_words, mixed, run_hashes, signed
 
 #: Rows of a table that may be broadcast; larger ones are joined by shuffle.
@@ -236,7 +236,8 @@ def cluster(df: DataFrame, spec: Spec, text_col: str = "text", id_col: str = "do
         sketch.where("scheme >= 0 and doc_id is not null").join(_small(classes), "key", "left")
         .where("rep is null or rep = doc_id").select(F.col("doc_id").alias("node"), "scheme", "s", "needy", "signs", "voids")
     )
-    found = components(_links(spark, docs, signing, spec))
+    with scratch(spark):
+        found = written(components(_links(spark, docs, signing, spec)), keep=True)
     # A class's representative carries its class into the component; a document without links is its own.
     named = narrow.join(classes, "key", "left").withColumn("node", F.coalesce("rep", "doc_id"))
     return named.join(found, "node", "left").select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ _ARROW = {
 }
 
 #: Rows in one Arrow batch. Texts run to some hundred kB, so this bounds a Python worker's memory.
-BATCH_ROWS = 256
+BATCH_ROWS = 128
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,14 +49,31 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/loom-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there and lost executors cost no recomputation."""
+_scratch: list[list[str]] = []
+
+
+def written(df: DataFrame, keep: bool = False) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: lineage ends there and lost executors cost no recomputation.
+    Within ``scratch`` it is a table of that phase, unless ``keep`` says that the result reads it."""
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A phase whose written tables go when it ends."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            delete_path(spark, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import arrow_schema, ddl, map_columns, prepare, release, with_columns, written
+from .runtime import arrow_schema, ddl, map_columns, prepare, release, scratch, with_columns, written
 from .words import hash_words, run_hashes, sliding_min, split_words
 
 WINDOW = 35
@@ -275,7 +275,8 @@ def _by_windows(shown: DataFrame, window: int) -> DataFrame:
 
 def _marked(df: DataFrame, text_col: str, window: int, k: int, shard: int) -> DataFrame:
     """``df`` with ``__text``, ``__key``, and ``starts`` and ``sizes`` where its text has repeated windows."""
-    found = written(spans(df, text_col, window, k, shard))
+    with scratch(df.sparkSession):
+        found = written(spans(df, text_col, window, k, shard), keep=True)
     release(df.sparkSession)
     return _keyed(df, text_col).join(found.hint("merge"), "__key", "left")
 
