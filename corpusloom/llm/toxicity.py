@@ -8,8 +8,8 @@ its events, up to a cap, and a document's score is a logistic function of the su
 
 The insult lexicon holds seed words and entries learned from labels: words or word beginnings that occur in toxic
 training documents far more often than chance allows, counted by documents and by distinct neighbours, so that copies of
-one document don't make an entry. Training uses at most ``TOXIC_SAMPLE`` and ``CLEAN_SAMPLE`` labelled documents, drawn
-by a hash of the id, never held-out ones (crc32 of the id as text, mod 5, is 0). Scores depend on texts alone.
+one document don't make an entry. Training uses at most ``TOXIC_SAMPLE`` and ``CLEAN_SAMPLE`` labelled documents (in
+expectation), drawn by a hash of the id, never held-out ones (crc32 of the id as text, mod 5, is 0). Scores depend on texts alone.
 
 Defined cases: null and empty texts have no clause and get the lowest score; a document labelled twice counts as toxic
 if one label says so; without labels the seeds and a fixed logistic function decide; repeated rows score alike.
@@ -278,8 +278,8 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     sample = known.where(draw < share)
     rows = (
         docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
-        .join(F.broadcast(sample), "id").select("id", "text", "toxic").collect()  # bounded by the two sample sizes
-    )
+        .join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
+    )  # one text an id, so the two sample sizes bound what comes to the driver
     rows.sort(key=lambda r: (r["id"], r["text"]))
     texts, toxic = [r["text"] for r in rows], [int(r["toxic"] == 1) for r in rows]
     words, stems = learn_entries(texts, toxic)
