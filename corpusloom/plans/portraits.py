@@ -71,9 +71,13 @@ def inverted_index(t: Tables) -> DataFrame:
 NAMES = "select distinct p_name as query, case p_size % 9 when 0 then replace(p_name, 'e', 'ee') else p_name end as name from {part}"
 
 
+def _names(t: Tables) -> DataFrame:
+    return linkage.name_query(t.sql(NAMES).groupBy("query").agg(F.min("name").alias("name")))
+
+
 def _candidates(t: Tables) -> DataFrame:
     records = linkage.suitability(linkage.index(images(t).drop("p_partkey").dropDuplicates(["rel_path"])))
-    queries = linkage.name_query(t.sql(NAMES).groupBy("query").agg(F.min("name").alias("name")))
+    queries = _names(t)
     pairs = linkage.shortlist(linkage.inverted(records), queries)
     r = records.withColumnsRenamed({"joined": "r_joined", "phonetics": "r_phonetics", "initials": "r_initials"})
     return linkage.identity(pairs.join(r, "rel_path").join(queries, "query"))
@@ -86,7 +90,7 @@ def identities(t: Tables) -> DataFrame:
 
 @query("O1_O2_P13_P14_portrait_choice")
 def portrait_choice(t: Tables) -> DataFrame:
-    chosen = linkage.choose(_candidates(t))
+    chosen = linkage.choose(_candidates(t), _names(t))
     fallback = F.when(F.length("query") % 2 == 0, "default-m.png").otherwise("default-f.png")
     return chosen.withColumn("shown", F.coalesce("chosen", fallback))
 

@@ -59,8 +59,8 @@ def read_image_index(spark: SparkSession, path: str) -> DataFrame:
         F.col("relPath").alias("rel_path"), w.alias("width"), h.alias("height"), F.coalesce("image.mp", w * h / 1e6).alias("mp"),
         F.when(F.col("image.orientation").isin("portrait", "square", "landscape"), F.col("image.orientation")).otherwise(shape).alias("orientation"),
         F.coalesce("color.mode", F.lit("unknown")).alias("color"), F.when(known, F.col("ai.class")).otherwise("unknown").alias("class"), unit("ai.confidence").alias("confidence"),
-        F.coalesce("ai.faceCount", F.lit(0)).alias("faces"), unit("ai.faceCoverage").alias("coverage"), usable(F.col("meta.title")).alias("title"),
-        F.filter(F.coalesce("meta.keywords", F.array().cast("array<string>")), lambda k: usable(k).isNotNull() & k.rlike("\\p{L}{2}")).alias("keywords"))
+        F.coalesce("ai.faceCount", F.lit(0)).alias("faces"), unit("ai.faceCoverage").alias("coverage"), *[usable(F.col(f"meta.{c}")).alias(c) for c in ("title", "description", "ocr")],
+        *[F.filter(F.coalesce(f"meta.{c}", F.array().cast("array<string>")), lambda k: usable(k).isNotNull() & k.rlike("\\p{L}{2}")).alias(c) for c in ("keywords", "people")])
 
 
 def usable(c: Column) -> Column:
