@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ def templated(template: str, columns: list[str]) -> Column:
 
 
 def write_artifacts(df: DataFrame, root: str, template: str, content: str = "content", existing: str = "skip", dry_run: bool = False) -> DataFrame:
-    """Text artifacts below ``root``, one folder a path of the template; returns ``path, bytes, written``. ``existing`` is
-    ``skip``, ``overwrite`` or ``fail``. Files go through Spark's commit protocol, so half-written ones never show."""
+    """Text artifacts below ``root``, one folder a path of the template; returns ``path, bytes, written`` of all of them,
+    kept as a table below ``spark.checkpoint.dir`` before they are written. ``existing`` is ``skip``, ``overwrite`` or ``fail``. Files go through Spark's commit protocol, so half-written ones never show."""
     rows = df.select(templated(template, df.columns).alias("path"), F.regexp_replace(content, "\\s+$", "").alias("value"))  # the writer ends the line
     spark = df.sparkSession
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
@@ -40,9 +41,10 @@ def write_artifacts(df: DataFrame, root: str, template: str, content: str = "con
     report = marked.select("path", (F.octet_length("value") + 1).alias("bytes"), (F.lit(existing == "overwrite") | F.col("old").isNull()).alias("written"))
     if dry_run:
         return report
-    done = report.collect() if report.limit(10_001).count() <= 10_000 else None  # a report of a run's artifacts, not of rows
+    kept = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/checkpoints/corpusloom'}/artifacts-{uuid.uuid4().hex}"
+    report.write.parquet(kept)  # once the artifacts are written, all of them exist
     todo.write.mode("overwrite" if existing == "overwrite" else "append").partitionBy("path").option("partitionOverwriteMode", "dynamic").text(root)
-    return spark.createDataFrame(done, report.schema) if done is not None else todo.select("path", (F.octet_length("value") + 1).alias("bytes"), F.lit(True).alias("written"))
+    return spark.read.schema(report.schema).parquet(kept)
 
 
 def append_journal(events: DataFrame, path: str, run_id: str) -> None:

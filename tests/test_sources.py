@@ -64,6 +64,15 @@ def test_artifacts(spark, tmp_path):
         sinks.templated("{none}", ["a"])
 
 
+def test_skipped_artifacts_are_reported_at_any_size(spark, tmp_path):
+    n = 10_001
+    (tmp_path / "path=a0").mkdir()
+    (tmp_path / "path=a0/part-0.txt").write_text("x\n")
+    df = spark.range(n).select(F.concat(F.lit("a"), F.when(F.col("id") < n - 1, 0).otherwise(1)).alias("slug"), F.lit("x").alias("content"))
+    got = sinks.write_artifacts(df, str(tmp_path), "{slug}").groupBy("written").count().collect()
+    assert {r["written"]: r["count"] for r in got} == {False: n - 1, True: 1}
+
+
 def test_streams(spark, sf, tmp_path):
     src = str(tmp_path / "events")
     spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).orderBy("ts").coalesce(1).write.json(src)
