@@ -25,6 +25,22 @@ def accepted(rows: DataFrame) -> DataFrame:
     return first.withColumn("slug_rank", F.when(usable, F.row_number().over(slugs)))
 
 
+def read_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` as a reader takes them: without those that lack an id or ``md`` or repeat an earlier row's id or slug; types
+    and genders in lower case, countries in upper case, unknown genders and countries dropped, no title is the id."""
+    clean = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
+    trimmed = rows.withColumns({c: clean(c) for c in ("id", "title", "type", "gender", "country", "md", "json", "img")}).where("id is not null and md is not null")
+    kept = trimmed.withColumn("slug", values.slug(F.col("md")))
+    for key in ("id", "slug"):
+        first = Window.partitionBy(key).orderBy("position")
+        kept = kept.withColumn("place", F.row_number().over(first)).where((F.col("place") == 1) | F.col(key).isNull()).drop("place")
+    gender, country = F.lower("gender"), F.upper("country")
+    lang = F.array_distinct(F.filter(F.transform(F.split(F.lower("lang"), ","), F.trim), lambda x: x.isin(*values.LANGUAGES)))
+    return kept.withColumns({
+        "title": F.coalesce("title", "id"), "type": F.coalesce(F.lower("type"), F.lit("")), "gender": F.when(gender.isin("m", "f", "mixed"), gender),
+        "country": F.when(country.rlike("^[A-Z]{2}$"), country), "lang": F.when(F.size(lang) > 0, lang).otherwise(F.array(F.lit(values.LANGUAGES[0])))})
+
+
 def _bad(cond: Column, invariant: str, severity: str = "error") -> Column:
     return F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(invariant).alias("invariant"), F.lit(severity).alias("severity")))
 

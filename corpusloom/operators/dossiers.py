@@ -92,6 +92,22 @@ def accept_web(answers: DataFrame, floor: float = 0.6) -> DataFrame:
     return v.withColumn("reason", reason).withColumn("accepted", reason.isNull())
 
 
+def spelled_places(entries: DataFrame, countries: DataFrame, most: int = 120) -> DataFrame:
+    """``entries`` (raw, known: the entry's country or null) with ``place``: null beyond ``most`` characters; a code that is
+    the whole value or follows its last comma becomes a country's name, if it is alpha-3, or alpha-2 and the known country's.
+    ``countries``: code, code3, name."""
+    c = F.col
+    value = text.text_or_null(c("raw"))
+    codes = countries.select(F.lower("code").alias("__iso"), F.explode(F.array(F.lower("code"), F.lower("code3"))).alias("__code"), c("name").alias("__name"))
+    p = entries.withColumn("__value", F.when(F.length(value) <= most, value))
+    tail, head = F.trim(F.regexp_extract("__value", "([^,]*)$", 1)), F.trim(F.regexp_extract("__value", "^(.*),", 1))
+    token = F.when(tail.rlike("^[A-Za-z]{2,3}$") & ((head != "") | ~F.contains("__value", F.lit(","))), F.lower(tail))
+    found = p.withColumn("__head", head).withColumn("__token", token).join(
+        F.broadcast(codes), (c("__token") == c("__code")) & ((F.length("__token") == 3) | (F.lower("known") == c("__iso"))), "left")
+    place = F.when(c("__name").isNull(), c("__value")).when(c("__head") == "", c("__name")).otherwise(F.concat_ws(", ", "__head", "__name"))
+    return found.withColumn("place", place).drop("__value", "__head", "__token", "__iso", "__code", "__name")
+
+
 def display_names(display: Column, surname: Column, forename: Column) -> Column:
     """Names of an entry: display, surname, inverted, and a romanization of a name in another script."""
     inverted = F.when(~F.contains(display, F.lit(",")), F.concat_ws(", ", surname, forename))

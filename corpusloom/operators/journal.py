@@ -29,6 +29,15 @@ def usable_tokens(window: Column, margin: Column, reserve: Column, most_out: Col
     return F.greatest(F.lit(0), F.floor(window * margin) - F.least(reserve, most_out)).cast("long")
 
 
+def routed_chain(targets: DataFrame, tokens: int, margin: float = 0.9, reserve: int = 512) -> DataFrame:
+    """Each pool's ``targets`` (window_size, most_out, price, weight, pos) by ``rank`` for so many tokens: those that fit by
+    price and weight, then those that ``overflow``, most room first."""
+    room = usable_tokens(F.col("window_size"), F.lit(margin), F.lit(reserve), F.col("most_out")) - tokens
+    t = targets.withColumn("overflows", room < 0)
+    keys = ("overflows", F.when(room < 0, -room), "price", F.desc("weight"), "pos")
+    return t.withColumn("rank", F.row_number().over(Window.partitionBy("pool").orderBy(*keys)))
+
+
 #: Error kinds by message, first match first, then by status; whether a kind is retried and whether another target may help.
 MESSAGE_KINDS = (
     ("context_length", "(?i)context.{0,20}(?:length|window)|maximum context|too many tokens"),

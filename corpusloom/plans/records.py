@@ -184,10 +184,8 @@ def places(t: Tables) -> DataFrame:
     """A place whose last part is a country's code gets the country's name."""
     raw = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("Town, "), F.upper(F.concat(F.char(F.lit(97) + F.col("c_nationkey")), F.lit("xy"))))).when(F.col("c_custkey") % 3 == 1, "Town").otherwise(
         F.upper(F.concat(F.char(F.lit(97) + F.col("c_nationkey")), F.lit("xy"))))
-    p = t.customer.select("c_custkey", raw.alias("raw")).withColumn("last", F.trim(F.element_at(F.split("raw", ","), -1)))
-    d = t.sql(CODES).select(F.upper("code3").alias("code3"), "name")
-    return p.join(F.broadcast(d), p["last"] == d["code3"], "left").select("c_custkey", F.when(F.col("name").isNull(), F.col("raw")).otherwise(
-        F.regexp_replace("raw", "[^,\\s]+$", F.col("name"))).alias("place"))
+    p = t.customer.select("c_custkey", raw.alias("raw"), F.lit(None).cast("string").alias("known"))
+    return dossiers.spelled_places(p, t.sql(CODES)).select("c_custkey", "place")
 
 
 @query("O3_O4_O12_ordered_report", "select c_custkey::varchar as id, c_name from customer order by c_custkey limit 100")

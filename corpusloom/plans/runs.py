@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..operators import gateway, journal, markdown
-from .registry import Tables, query
+from ..operators import catalogue, gateway, journal, markdown
+from .journals import TARGETS
+from .registry import Tables, plain, query
 
 
 def shout(target: str, prompt: str) -> str:
@@ -133,9 +134,22 @@ def run_status(t: Tables) -> DataFrame:
     with m as (select s_nationkey % 5 as pool, min(0.1 + (s_suppkey * 13 % 29) / 10.0) as price from supplier group by 1), r as (select p_size % 5 as pool, (p_partkey * 71) % 8000 as tokens from part)
     select pool, count(*)::bigint as tasks, round(sum(tokens * price / 1e6 + 1024 * price * 4 / 1e6), 6) as cost from r join m using (pool) group by pool""")
 def cost_preview(t: Tables) -> DataFrame:
-    from .journals import REQUESTS, TARGETS
+    from .journals import REQUESTS
 
     m = t.sql(TARGETS).groupBy("pool").agg(F.min(F.col("price").cast("double")).alias("price"))
     zero = F.lit(0)
     cost = journal.cost(F.col("tokens"), zero, F.lit(1024), zero, F.col("price"), F.col("price") * 4)
     return t.sql(REQUESTS).join(F.broadcast(m), "pool").groupBy("pool").agg(F.count("*").alias("tasks"), F.round(F.sum(cost), 6).alias("cost"))
+
+
+@query("R14_routing_preview", f"""select pool, target, row_number() over (partition by pool order by usable < 4000, case when usable < 4000 then -usable end, price, weight desc, pos)::int as rank, usable < 4000 as overflows
+    from (select *, floor(window_size * 0.9) - least(512, most_out) as usable from ({plain(TARGETS)}))""")
+def routing_preview(t: Tables) -> DataFrame:
+    return journal.routed_chain(t.sql(TARGETS), 4000).select("pool", "target", "rank", "overflows")
+
+
+@query("Q11_row_normalization")
+def normalized_rows(t: Tables) -> DataFrame:
+    from .catalogues import ROWS
+
+    return catalogue.read_rows(t.sql(ROWS)).select("id", "slug", "title", "type", "gender", "country", F.array_join("lang", ",").alias("lang"))
