@@ -150,6 +150,6 @@ def merge_names(existing: DataFrame, new: DataFrame) -> DataFrame:
     kept = F.filter(add, lambda a: (F.length(a) >= 3))
     joined = e.join(n, (F.col("e.lang") == F.col("n.lang")) & (F.col("e.id") == F.col("n.id")), "full_outer")
     out = joined.select(F.coalesce("e.lang", "n.lang").alias("lang"), F.coalesce("e.id", "n.id").alias("id"), old.alias("old"),
-                        F.when(F.size(old) > 0, F.concat(old, kept)).otherwise(F.concat(F.slice(add, 1, 1), F.filter(F.slice(add, 2, 1000), lambda a: F.length(a) >= 3))).alias("all"))
+                        F.when(F.size(old) > 0, F.concat(old, kept)).otherwise(F.concat(F.slice(add, 1, 1), F.filter(F.slice(add, F.lit(2), F.size(add)), lambda a: F.length(a) >= 3))).alias("all"))
     return out.select("lang", "id", text.distinct_by(F.col("all"), text.fold_name).alias("aliases"), "old").withColumn(
         "changed", ~F.col("aliases").eqNullSafe(F.col("old"))).drop("old")
