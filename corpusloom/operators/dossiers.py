@@ -122,14 +122,19 @@ def latin_title(hint: Column, edition: Column, slug: Column, name: Column) -> Co
 
 def search(names: DataFrame, queries: DataFrame) -> DataFrame:
     """Entries that match all words of a query: ``query, id, score``. ``names`` has id, name and weight. Words meet by an
-    equi-join on their first two letters; interior matches join on every pair of letters of a name."""
-    folded = names.select("id", "weight", text.fold_name(F.col("name")).alias("n"))
-    grams = folded.withColumn("g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("n") - 1)), lambda i: F.substr("n", i, F.lit(2))))))
-    words = queries.select("query", F.explode(F.array_distinct(F.filter(F.split(text.fold_name(F.col("query")), " "), lambda w: F.length(w) > 1))).alias("w"))
+    equi-join on their first two letters; interior matches join on every letter and pair of letters of a name. Names in
+    another script also match, with the lowest rank, as they are romanized."""
+    name = F.col("name")
+    spelled = lambda c, native: F.struct(text.fold_name(c).alias("n"), F.lit(native).alias("native"))
+    spellings = F.array_compact(F.array(spelled(name, True), F.when(~text.is_latin(name), spelled(text.to_ascii(name), False))))
+    folded = names.select("id", "weight", F.explode(spellings).alias("s")).select("id", "weight", "s.*")
+    parts = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("n") - (k - 1))), lambda i: F.substr("n", i, F.lit(k)))
+    grams = folded.withColumn("g", F.explode(F.array_union(parts(1), parts(2))))
+    words = queries.select("query", F.explode(F.array_distinct(F.filter(F.split(text.fold_name(F.col("query")), " "), lambda w: w != ""))).alias("w"))
     hits = grams.join(words.withColumn("g", F.left("w", F.lit(2))), "g").where(F.contains("n", "w"))
     c = F.col
     score = (
-        F.when(c("n") == c("w"), 100).when(F.startswith("n", "w"), 70).when(F.contains(F.concat(F.lit(" "), "n"), F.concat(F.lit(" "), "w")), 50).otherwise(25)
+        F.when(~c("native"), 10).when(c("n") == c("w"), 100).when(F.startswith("n", "w"), 70).when(F.contains(F.concat(F.lit(" "), "n"), F.concat(F.lit(" "), "w")), 50).otherwise(25)
     )
     best = hits.groupBy("query", "id", "w").agg(F.max(score * c("weight")).alias("s"))
     asked = words.groupBy("query").agg(F.count("*").alias("asked"))
