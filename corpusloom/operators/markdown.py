@@ -346,14 +346,23 @@ def _extension(target: str) -> str:
     return name[name.rfind(".") :].lower() if name.rfind(".") > 0 else ""
 
 
-def media(content: str, most: int = 60) -> list[tuple[str, str, str]]:
-    """``photo`` and ``music`` items (kind, label, target) in order, each target once, at most ``most`` of a kind."""
+def media(content: str) -> list[tuple[str, str, str]]:
+    """All ``photo`` and ``music`` items (kind, label, target) in order, each target once."""
+    return harvest(content, None)[0]
+
+
+def harvest(content: str, most: int | None = 60) -> tuple[list[tuple[str, str, str]], dict[str, bool]]:
+    """Items as ``media`` gives them, at most ``most`` of a kind, and for each kind whether it was truncated."""
     out: dict[str, dict[str, str]] = {"photo": {}, "music": {}}
+    truncated = dict.fromkeys(out, False)
 
     def add(kind: str, label: str, target: str) -> None:
         label, target = _plain(label), target.strip()
-        if label and target and not target.startswith("#") and "/#/" not in target and target not in out[kind] and len(out[kind]) < most:
-            out[kind][target] = label
+        if label and target and not target.startswith("#") and "/#/" not in target and target not in out[kind]:
+            if most is not None and len(out[kind]) >= most:
+                truncated[kind] = True
+            else:
+                out[kind][target] = label
 
     box: dict[str, str] | None = None
 
@@ -383,7 +392,7 @@ def media(content: str, most: int = 60) -> list[tuple[str, str, str]]:
                 if not target.startswith("#") and (_extension(target) in AUDIO or tab):
                     add("music", (f"{title} — {label}" if label and label != title else title) if title else label, target)
     flush()
-    return [(k, label, target) for k in out for target, label in out[k].items()]
+    return [(k, label, target) for k in out for target, label in out[k].items()], truncated
 
 
 def generate(df: DataFrame, key: str, text: str, rows: Callable[[str], list[tuple]], schema: str) -> DataFrame:
