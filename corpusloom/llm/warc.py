@@ -6,7 +6,8 @@ timestamps, record types and payload digests. Among equal payloads of at least `
 the largest page id stays a response; the others become revisits that refer to it and keep their HTTP headers only.
 
 Archives are written by Spark's text writer (a record is a row, the record separator is ``lineSep``), and read as
-binary files; a file's size is bounded by ``FILE_BYTES``, so neither needs a shared local folder.
+binary files, so neither needs a shared local folder. A partition is one file, which is unpacked whole when it is
+read: memory grows with the size of a partition, and nothing here bounds that.
 
 Defined cases: null html is the empty payload; null urls are written as ``-`` and read back as null; white space in
 urls is percent-encoded; rows with equal page id and payload are all responses; null page ids are kept and sort
@@ -30,8 +31,6 @@ from pyspark.sql import functions as F
 from .runtime import arrow_schema, ddl, shared_dir
 
 MIN_REVISIT = 1000
-#: Bytes of records in one archive file, uncompressed; a record isn't split.
-FILE_BYTES = 16 << 20
 #: The capture date of records whose table has none.
 DATE = "20240101000000"
 ARC_END, WARC_END = "\n", "\r\n\r\n"
@@ -132,7 +131,7 @@ def _write_lines(df: DataFrame, path: str, end: str) -> None:
 
 
 def _files(spark, path: str) -> DataFrame:
-    """File contents as rows; a task reads a few files of bounded size."""
+    """File contents as rows; a file is a whole partition's."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
