@@ -10,7 +10,9 @@ The template is ``### role: text</turn>`` and a line feed for each turn. In text
 a text, and ``read_back`` inverts this exactly. The loss mask is a list of code-point spans of assistant texts.
 
 Defined cases: null roles and texts are empty; rows of a null tree form one conversation; turns with equal numbers are
-ordered by role and text; repeated rows are turns of their own; null turns come first; an empty table gives no rows.
+ordered by role and text; repeated rows are turns of their own; null turns come first; an empty table gives no rows;
+branches of equal score are ranked by their leaf; a very long text or conversation is one row of the result, in memory
+at once; other columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import map_columns, written
+from .runtime import Scratch, map_columns, prepare
 
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", "</turn>\n"
 _ESCAPES = (("\\", "\\s"), ("#", "\\h"), ("<", "\\l"))
@@ -70,12 +72,12 @@ def _same(a: str, b: str, *cols: tuple[str, str]) -> Column:
     return cond
 
 
-def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def jumps(nodes: DataFrame, tmp: Scratch) -> tuple[list[DataFrame], DataFrame]:
     """From ``tree, node, parent, score`` the jump tables ``tree, node, up`` (table r reaches 2^r steps up; nodes nearer
     to the root aren't in it), and for all nodes ``tree, node, steps, total``, their paths' length and score. A round
     joins only what hasn't reached its root. Parents that don't exist count as none; a cycle raises an error."""
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"))
-    now = written(
+    now = tmp.write(
         nodes.alias("n").join(known.alias("k"), _same("n", "k", ("tree", "t")) & (F.col("n.parent") == F.col("k.p")), "left")
         .select("n.tree", "n.node", F.col("k.p").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("n.score").alias("total"))
     )
@@ -86,7 +88,7 @@ def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         tables.append(active.select("tree", "node", "up"))
         reach = ended.unionByName(active).select(
             F.col("tree").alias("t"), F.col("node").alias("m"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        now = written(
+        now = tmp.write(
             active.alias("a").join(reach.alias("b"), _same("a", "b", ("tree", "t")) & (F.col("a.up") == F.col("b.m")))
             .select("a.tree", "a.node", F.col("b.up2").alias("up"), (F.col("a.steps") + F.col("b.steps2")).alias("steps"),
                     (F.col("a.total") + F.col("b.total2")).alias("total"))
@@ -95,9 +97,9 @@ def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     return tables, ended.select("tree", "node", "steps", "total")
 
 
-def best_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
+def best_paths(nodes: DataFrame, tmp: Scratch, top: int = 1) -> DataFrame:
     """The ``top`` branches of each tree by mean score (ties: the smaller leaf): ``tree, leaf, branch, node, position``."""
-    tables, last = jumps(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")))
+    tables, last = jumps(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")), tmp)
     leaves = last
     if tables:
         inner = tables[0].select(F.col("tree").alias("t"), F.col("up").alias("p")).distinct()
@@ -108,22 +110,15 @@ def best_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     for r, table in enumerate(tables):
         step = table.select(F.col("tree").alias("t"), F.col("node").alias("m"), "up")
         higher = members.alias("a").join(step.alias("b"), _same("a", "b", ("tree", "t")) & (F.col("a.node") == F.col("b.m")))
-        members = written(members.unionByName(higher.select(
+        members = tmp.write(members.unionByName(higher.select(
             "a.tree", "a.leaf", "a.branch", F.col("b.up").alias("node"), "a.depth", (F.col("a.back") + (1 << r)).alias("back"))))
     return members.select("tree", "leaf", "branch", "node", (F.col("depth") - 1 - F.col("back")).alias("position"))
 
 
 def format_trees(nodes: DataFrame, top: int = 1, learn: str = "assistant") -> DataFrame:
-    """``nodes`` (tree, node, parent, role, text, score) as conversations: ``tree, branch, formatted, loss_spans``.
-    Nodes are unique in a tree. A conversation's turns meet in one task because they are one row of the result."""
-    nodes = written(nodes.select("tree", "node", "parent", "role", "text", "score"))
-    paths = best_paths(nodes, top)
-    turns = (
-        paths.alias("p").join(nodes.alias("n"), _same("p", "n", ("tree", "tree"), ("node", "node")))
-        .groupBy("p.tree", "p.branch")
-        .agg(F.sort_array(F.collect_list(F.struct("p.position", "n.role", "n.text"))).alias("turns"))
-        .select("tree", "branch", F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform("turns", lambda t: t["text"]).alias("texts"))
-    )
+    """``nodes`` (tree, node, parent, role, text, score) as conversations: ``tree, branch, formatted, loss_spans``, a table
+    in the shared folder. Nodes are unique in a tree. A conversation's turns meet in one task because they are one row of
+    the result."""
 
     def make():
         def step(cols):
@@ -132,7 +127,17 @@ def format_trees(nodes: DataFrame, top: int = 1, learn: str = "assistant") -> Da
 
         return step
 
-    return map_columns(turns, make, [("tree", "bigint"), ("branch", "int"), ("formatted", "string"), ("loss_spans", "array<bigint>")])
+    with Scratch(prepare(nodes.sparkSession)) as tmp:
+        nodes = tmp.write(nodes.select("tree", "node", "parent", "role", "text", "score"))
+        paths = best_paths(nodes, tmp, top)
+        turns = (
+            paths.alias("p").join(nodes.alias("n"), _same("p", "n", ("tree", "tree"), ("node", "node")))
+            .groupBy("p.tree", "p.branch")
+            .agg(F.sort_array(F.collect_list(F.struct("p.position", "n.role", "n.text"))).alias("turns"))
+            .select("tree", "branch", F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform("turns", lambda t: t["text"]).alias("texts"))
+        )
+        out = map_columns(turns, make, [("tree", "bigint"), ("branch", "int"), ("formatted", "string"), ("loss_spans", "array<bigint>")])
+        return tmp.keep(tmp.write(out))
 
 
 def as_trees(turns: DataFrame, tree_col: str = "conv_id") -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,17 +22,20 @@ _ARROW = {
     "array<int>": pa.list_(pa.int32()),
 }
 
-#: Rows in one Arrow batch. Texts run to some hundred kB, so this bounds a Python worker's memory.
-BATCH_ROWS = 128
+#: Bytes in one Arrow batch, about; a longer row is a batch of its own. This bounds a Python worker's memory.
+BATCH_BYTES = 2 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings that every Arrow operator relies on; workers get this checkout on their path."""
+    """What every Arrow operator relies on: this checkout on the workers' path, and batches of bounded bytes. The bound
+    is the session's, is only ever lowered, and changes no result of any other query."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if int(re.match(r"\d+", spark.conf.get(_BATCH_SETTING))[0]) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return spark
 
 
@@ -41,43 +44,94 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
+    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share; it goes when the application
+    ends, unless it goes before.
 
-    Only where that setting is absent, as in local tests, a folder of this machine is used.
+    Only where that setting is absent and driver and executors are one process, as in local tests, a folder of this
+    machine is used; on a cluster its absence is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/corpusloom"
-    return f"{base.rstrip('/')}/loom-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file:///tmp/checkpoints/corpusloom"
+    path = f"{base.rstrip('/')}/loom-{uuid.uuid4().hex}"
+    fs, p = _at(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
 
 
-_scratch: list[list[str]] = []
-
-
-def written(df: DataFrame, keep: bool = False) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there and lost executors cost no recomputation.
-    Within ``scratch`` it is a table of that phase, unless ``keep`` says that the result reads it."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.option("compression", "zstd").parquet(path)
-    if _scratch and not keep:
-        _scratch[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """A phase whose written tables go when it ends."""
-    _scratch.append([])
-    try:
-        yield
-    finally:
-        for path in _scratch.pop():
-            delete_path(spark, path)
+def _at(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
+class Scratch:
+    """Tables of one phase of one call, in the shared folder; all but the kept ones go when the phase ends, also on errors."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.tables = spark, {}  # by identity: a table and its path
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for _, path in self.tables.values():
+            delete_path(self.spark, path)
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """``df`` as a Parquet table: lineage ends there, and lost executors cost no recomputation."""
+        path = shared_dir(self.spark)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables[id(out)] = out, path
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, a table of this phase, for results that are read later; it lives as long as the application."""
+        del self.tables[id(df)]
+        return df
+
+    def drop(self, df: DataFrame) -> None:
+        """A table of this phase that nothing reads any more goes now."""
+        delete_path(self.spark, self.tables.pop(id(df))[1])
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table that a later result reads; see ``Scratch.keep``."""
+    tmp = Scratch(df.sparkSession)
+    return tmp.keep(tmp.write(df))
+
+
+class Memo:
+    """A worker's memory of computed values in two generations: when the recent one is full it becomes the old one, and
+    what is asked for again returns from there. So frequent keys stay, rare ones go, and ``2 * size`` entries (and those
+    of one batch) are the most that is held."""
+
+    def __init__(self, size: int, make: Callable[[list], Iterable]) -> None:
+        self.size, self.make, self.recent, self.old = size, make, {}, {}
+
+    def fetch(self, keys: set) -> dict:
+        """A dictionary with all ``keys`` (and others)."""
+        if len(self.recent) > self.size:
+            self.old, self.recent = self.recent, {}
+        recent, old = self.recent, self.old
+        missing = keys.difference(recent)
+        if missing and old:
+            for k in missing:
+                if k in old:
+                    recent[k] = old[k]
+            missing = missing.difference(recent)
+        if missing:
+            order = list(missing)
+            recent.update(zip(order, self.make(order), strict=True))
+        return recent
 
 
 def ddl(fields: list[tuple[str, str]]) -> str:

@@ -5,16 +5,19 @@ window's anchor is the smallest hash among its ``K``-word runs, so equal windows
 windows with one anchor form a context: the words that these windows span. Contexts are counted by anchor and hash.
 A context that occurs twice is repeated as a whole. Where an anchor has several different contexts, they are the
 reference shard of that anchor: they become one generalised suffix automaton with occurrence counts, the contexts are
-streamed through it, and the spans whose match is at least a window long and occurs twice are removed. Anchors with
-more than ``SHARD`` contexts, such as a phrase of thousands of documents, would make a shard that grows with the
-corpus; their windows are counted by hash instead, which combines before its shuffle and has no bound.
+streamed through it, and the spans whose match is at least a window long and occurs twice are removed. An anchor whose
+contexts have more than ``SHARD`` words, such as a phrase of thousands of documents, would make a shard that grows with
+the corpus; it is split to the end, where each shard is one window with its occurrences. An automaton of equal windows
+is their number, so these shards are counted by the window's hash, which combines before its shuffle and has no bound.
 
 Contexts are known by anchor and a 64-bit hash each, texts by a number until their hash is needed. Texts are shuffled
 twice by that hash (context words, then removal); only narrow rows move otherwise. All joined tables grow with the
 corpus, so every join is by sort and merge.
 
 Defined cases: null is an empty text; texts shorter than a window keep all words; a text that occurs twice loses all
-its words if it has a window; repeated rows count as copies; kept words are joined by one space.
+its words if it has a window; repeated rows count as copies; kept words are joined by one space; a very long text is one
+row whose words are in memory at once, and its contexts are judged like others; an empty table gives no rows; columns
+may have any names.
 """
 
 from __future__ import annotations
@@ -29,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import arrow_schema, ddl, map_columns, prepare, release, scratch, with_columns, written
+from .runtime import Scratch, arrow_schema, ddl, map_columns, prepare, release, with_columns
 from .words import hash_words, run_hashes, sliding_min, split_words
 
 WINDOW = 35
 K = 12
-#: Contexts of one anchor that a task may hold as an automaton, some 50 words each.
-SHARD = 2000
+#: Words in the different contexts of one anchor that a task may hold as an automaton.
+SHARD = 60_000
 
 
 class SuffixAutomaton:
@@ -128,10 +131,11 @@ def _keyed(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn("__text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).withColumn("__key", F.unhex(F.md5("__text")))
 
 
-def spans(df: DataFrame, text_col: str = "text", window: int = WINDOW, k: int = K, shard: int = SHARD) -> DataFrame:
-    """Repeated windows of each text with any: ``__key`` (of the text), ``starts`` and ``sizes`` (runs of windows)."""
+def spans(df: DataFrame, tmp: Scratch, text_col: str = "text", window: int = WINDOW, k: int = K, shard: int = SHARD) -> DataFrame:
+    """Repeated windows of each text with any: ``__key`` (of the text), ``starts`` and ``sizes`` (runs of windows), from
+    tables of ``tmp``."""
     spark = prepare(df.sparkSession)
-    docs = _keyed(df, text_col).select("__key", "__text")
+    docs = _keyed(df.select(F.col(f"`{text_col}`").alias("text")), "text").select("__key", "__text")
     fields = [("n", "bigint"), ("key", "binary"), ("h", "array<bigint>"), ("first", "array<bigint>"), ("size", "array<bigint>"),
               ("c", "array<bigint>"), ("twice", "array<int>")]
 
@@ -151,21 +155,28 @@ def spans(df: DataFrame, text_col: str = "text", window: int = WINDOW, k: int =
 
         return step
 
-    sketch = written(map_columns(docs, make_sketch, fields))
-    texts = written(sketch.groupBy("key").agg(F.min("n").alias("n")))  # of equal texts the first speaks for all
+    sketch = tmp.write(map_columns(docs, make_sketch, fields))
+    texts = tmp.write(sketch.groupBy("key").agg(F.min("n").alias("n")))  # of equal texts the first speaks for all
     rows = sketch.select("n", F.explode(F.arrays_zip("h", "c", "first", "size", "twice")).alias("x")).select("n", "x.*")
-    kinds = written(rows.groupBy("h", "c").agg(F.count("*").alias("occurs"), F.max("twice").alias("twice")))
-    anchors = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.max("twice").alias("any")).where("kinds > 1 or any = 1").select("h", "kinds")
-    wanted = written(
-        kinds.join(anchors.hint("merge"), "h", "left").where("kinds is not null or occurs > 1")
-        .select("h", "c", (F.col("occurs") > 1).alias("settled"), F.coalesce("kinds", F.lit(1)).alias("kinds"), F.col("kinds").isNotNull().alias("open"))
+    kinds = tmp.write(rows.groupBy("h", "c").agg(F.count("*").alias("occurs"), F.max("twice").alias("twice"), F.max("size").alias("size")))
+    anchors = (
+        kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.max("twice").alias("any"), F.sum(F.col("size") + (window - 1)).alias("words"))
+        .where("kinds > 1 or any = 1").select("h", "words")
     )
+    wanted = tmp.write(
+        kinds.drop("size").join(anchors.hint("merge"), "h", "left").where("words is not null or occurs > 1")
+        .select("h", "c", (F.col("occurs") > 1).alias("settled"), F.coalesce("words", F.lit(0)).alias("words"), F.col("words").isNotNull().alias("open"))
+    )
+    tmp.drop(kinds)
     release(spark)
     # Where wanted contexts lie. A context that occurs twice is repeated as a whole; it is also reference for others.
-    places = written(rows.drop("twice").join(wanted.hint("merge"), ["h", "c"]))
+    places = tmp.write(rows.drop("twice").join(wanted.hint("merge"), ["h", "c"]))
+    tmp.drop(sketch)
+    tmp.drop(wanted)
     release(spark)
-    shown = _context_words(docs, places.where("open").join(texts.hint("merge"), "n"), window)
-    found = written(_by_automata(shown.where(f"kinds <= {shard}"), window).unionByName(_by_windows(shown.where(f"kinds > {shard}"), window)))
+    shown = _context_words(docs, places.where("open").join(texts.hint("merge"), "n"), window, tmp)
+    found = tmp.write(_by_automata(shown.where(F.col("words") <= shard), window).unionByName(_by_windows(shown.where(F.col("words") > shard), window)))
+    tmp.drop(shown)
     release(spark)
     whole = places.where("settled").select("n", F.col("first").alias("start"), "size")
     parts = places.where("open and not settled").join(found.hint("merge"), ["h", "c"]).select("n", (F.col("first") + F.col("at")).alias("start"), F.col("span").alias("size"))
@@ -175,13 +186,13 @@ def spans(df: DataFrame, text_col: str = "text", window: int = WINDOW, k: int =
     )
 
 
-def _context_words(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """``h, c, kinds, words`` of each different open context (64-bit word hashes), from one place of it."""
-    one = places.groupBy("h", "c").agg(F.min(F.struct("key", "first", "size", "kinds")).alias("p")).select("h", "c", "p.*")
-    asked = one.groupBy("key").agg(F.collect_list(F.struct("h", "c", "first", "size", "kinds")).alias("x")).select(
-        "key", *[F.col(f"x.{n}").alias(n) for n in ("h", "c", "first", "size", "kinds")])
+def _context_words(docs: DataFrame, places: DataFrame, window: int, tmp: Scratch) -> DataFrame:
+    """``h, c, raw`` (64-bit word hashes) of each different open context, from one place of it, and its anchor's ``words``."""
+    one = places.groupBy("h", "c").agg(F.min(F.struct("key", "first", "size", "words")).alias("p")).select("h", "c", "p.*")
+    asked = one.groupBy("key").agg(F.collect_list(F.struct("h", "c", "first", "size", "words")).alias("x")).select(
+        "key", *[F.col(f"x.{n}").alias(n) for n in ("h", "c", "first", "size", "words")])
     texts = docs.join(asked.hint("merge"), docs["__key"] == asked["key"])
-    fields = [("h", "bigint"), ("c", "bigint"), ("kinds", "bigint"), ("words", "binary")]
+    fields = [("h", "bigint"), ("c", "bigint"), ("words", "bigint"), ("raw", "binary")]
 
     def make():
         def step(cols):
@@ -192,16 +203,16 @@ def _context_words(docs: DataFrame, places: DataFrame, window: int) -> DataFrame
                     continue
                 done.add(key)
                 raw = hash_words(split_words(text)).tobytes()
-                for h, c, first, size, kinds in zip(*(cols[x][i] for x in ("h", "c", "first", "size", "kinds")), strict=True):
-                    for (n, _), v in zip(fields, (h, c, kinds, raw[8 * first : 8 * (first + size + window - 1)]), strict=True):
+                for h, c, first, size, words in zip(*(cols[x][i] for x in ("h", "c", "first", "size", "words")), strict=True):
+                    for (n, _), v in zip(fields, (h, c, words, raw[8 * first : 8 * (first + size + window - 1)]), strict=True):
                         out[n].append(v)
             return out
 
         return step
 
     # A text with copies gives its contexts once a batch; what is left of repeats goes with the aggregate.
-    got = map_columns(texts.select("key", "__text", "h", "c", "first", "size", "kinds"), make, fields)
-    return written(got.groupBy("h", "c").agg(F.first("kinds").alias("kinds"), F.first("words").alias("words")))
+    got = map_columns(texts.select("key", "__text", "h", "c", "first", "size", "words"), make, fields)
+    return tmp.write(got.groupBy("h", "c").agg(F.first("words").alias("words"), F.first("raw").alias("raw")))
 
 
 _FOUND = [("h", "bigint"), ("c", "bigint"), ("at", "bigint"), ("span", "bigint")]
@@ -249,18 +260,18 @@ def _by_automata(shown: DataFrame, window: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    dealt = shown.select("h", "c", "words").repartition("h").sortWithinPartitions("h")
+    dealt = shown.select("h", "c", "raw").repartition("h").sortWithinPartitions("h")
     return dealt.mapInArrow(run, ddl(_FOUND))
 
 
 def _by_windows(shown: DataFrame, window: int) -> DataFrame:
-    """The same for anchors with too many contexts: windows counted by 128-bit hash."""
+    """The same for anchors with too many words: a shard for each window, counted by its 128-bit hash."""
     fields = [("h", "bigint"), ("c", "bigint"), ("at", "bigint"), ("w", "binary")]
 
     def make():
         def step(cols):
             out: dict[str, list] = {n: [] for n, _ in fields}
-            for h, c, raw in zip(cols["h"], cols["c"], cols["words"], strict=True):
+            for h, c, raw in zip(cols["h"], cols["c"], cols["raw"], strict=True):
                 for at in range(len(raw) // 8 - window + 1):
                     for (n, _), v in zip(fields, (h, c, at, xxhash.xxh3_128_digest(raw[8 * at : 8 * (at + window)])), strict=True):
                         out[n].append(v)
@@ -268,15 +279,16 @@ def _by_windows(shown: DataFrame, window: int) -> DataFrame:
 
         return step
 
-    every = map_columns(shown.select("h", "c", "words"), make, fields)
+    every = map_columns(shown.select("h", "c", "raw"), make, fields)
     again = every.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
     return every.join(again, "w", "left_semi").select("h", "c", "at", F.lit(1).cast("bigint").alias("span"))
 
 
 def _marked(df: DataFrame, text_col: str, window: int, k: int, shard: int) -> DataFrame:
-    """``df`` with ``__text``, ``__key``, and ``starts`` and ``sizes`` where its text has repeated windows."""
-    with scratch(df.sparkSession):
-        found = written(spans(df, text_col, window, k, shard), keep=True)
+    """``df`` with ``__text``, ``__key``, and ``starts`` and ``sizes`` where its text has repeated windows. No column of
+    ``df`` has one of these names."""
+    with Scratch(df.sparkSession) as tmp:
+        found = tmp.keep(tmp.write(spans(df, tmp, text_col, window, k, shard)))
     release(df.sparkSession)
     return _keyed(df, text_col).join(found.hint("merge"), "__key", "left")
 
@@ -314,15 +326,19 @@ def without_repeats(df: DataFrame, text_col: str = "text", chars_col: str | None
                     shard: int = SHARD) -> DataFrame:
     """``df`` with its texts cut; a text without repeats, null included, stays as it is. ``chars_col``, if given,
     holds the new lengths."""
+    name = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    text, chars = name[text_col], name[chars_col] if chars_col else None
+
     def make():
         def step(cols):
             out = []
-            for old, text, a, n in zip(cols[text_col], cols["__text"], cols["starts"], cols["sizes"], strict=True):
-                out.append(b" ".join(_kept(text, a, n, window)[1]).decode() if a else old)
-            return {text_col: out} | ({chars_col: [len(t or "") for t in out]} if chars_col else {})
+            for old, t, a, n in zip(cols[text], cols["__text"], cols["starts"], cols["sizes"], strict=True):
+                out.append(b" ".join(_kept(t, a, n, window)[1]).decode() if a else old)
+            return {text: out} | ({chars: [len(t or "") for t in out]} if chars else {})
 
         return step
 
-    fields = [(text_col, "string")] + ([(chars_col, "bigint")] if chars_col else [])
-    out = with_columns(_marked(df, text_col, window, k, shard), [text_col, "__text", "starts", "sizes"], make, fields)
-    return out.select(*[f"`{c}`" for c in df.columns])
+    fields = [(text, "string")] + ([(chars, "bigint")] if chars else [])
+    named = df.select(*[F.col(f"`{c}`").alias(x) for c, x in name.items()])
+    out = with_columns(_marked(named, text, window, k, shard), [text, "__text", "starts", "sizes"], make, fields)
+    return out.select(*[F.col(x).alias(c) for c, x in name.items()])

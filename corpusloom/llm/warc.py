@@ -5,13 +5,13 @@ says which. The converter walks a file by declared lengths and synthesises what
 timestamps, record types and payload digests. Among equal payloads of at least ``MIN_REVISIT`` bytes the record with
 the largest page id stays a response; the others become revisits that refer to it and keep their HTTP headers only.
 
-Archives are written by Spark's text writer (a record is a row, the record separator is ``lineSep``), and read as
-binary files, so neither needs a shared local folder. A partition is one file, which is unpacked whole when it is
-read: memory grows with the size of a partition, and nothing here bounds that.
+An archive's rows are whole files of about ``FILE_BYTES``, written by Spark's text writer one a file and read as binary
+files, so no local folder is needed, and neither a writer nor a reader holds more than a file and a record. Payloads are
+bytes of any kind. A record without HTTP header, such as ``dns:``, becomes a ``resource`` of its declared type.
 
 Defined cases: null html is the empty payload; null urls are written as ``-`` and read back as null; white space in
 urls is percent-encoded; rows with equal page id and payload are all responses; null page ids are kept and sort
-below all others; an empty table gives no rows.
+below all others; a very long page is one record, held at once; an empty table gives no rows; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -21,19 +21,21 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import arrow_schema, ddl, shared_dir
+from .runtime import Scratch, arrow_schema, ddl, delete_path, prepare, shared_dir
 
 MIN_REVISIT = 1000
+#: Bytes after which an archive file ends.
+FILE_BYTES = 16 << 20
 #: The capture date of records whose table has none.
 DATE = "20240101000000"
-ARC_END, WARC_END = "\n", "\r\n\r\n"
+ARC_END, WARC_END = b"\n", b"\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nX-Page-Id: {}\r\nContent-Length: {}\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -65,12 +67,12 @@ def parse_arc(data: bytes) -> Iterator[dict]:
             at += 1
             continue
         end = data.index(b"\n", at)
-        fields = data[at:end].decode().split(" ")
+        fields = data[at:end].decode("utf-8", "surrogateescape").rstrip("\r").split(" ")
         if names is None:
             if not fields[0].startswith("filedesc:"):
                 raise ValueError("an ARC file starts with its version block")
-            block = data[end + 1 : end + 1 + int(fields[-1])].decode().split("\n")
-            names = block[1].split(" ")
+            block = data[end + 1 : end + 1 + int(fields[-1])].decode("utf-8", "replace").split("\n")
+            names = block[1].rstrip("\r").split(" ")
             if block[0].split(" ")[0] not in ("1", "2") or len(fields) != len(names):
                 raise ValueError("unknown ARC version")
         head = dict(zip(names, fields, strict=True))
@@ -84,8 +86,10 @@ def parse_arc(data: bytes) -> Iterator[dict]:
 
 
 def split_http(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
-    """Header fields (lower case), the header's bytes, and the payload."""
-    cut = block.index(b"\r\n\r\n") + 4
+    """Header fields (lower case), the header's bytes, and the payload. A block without HTTP header is all payload."""
+    cut = block.find(b"\r\n\r\n") + 4
+    if not block.startswith(b"HTTP/") or cut < 4:
+        return {}, b"", block
     lines = block[:cut].decode("latin-1").split("\r\n")[1:]
     return {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines if x)}, block[:cut], block[cut:]
 
@@ -94,26 +98,25 @@ def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
-def warc_record(kind: str, url: str | None, date: str, page_id: int | None, digest: str, block: str,
-                refers_to: int | None = None) -> str:
-    """One record; ``digest`` is the payload's hexadecimal SHA-1, ``block`` HTTP headers and (for responses) payload."""
+def warc_record(kind: str, url: str | None, date: str, page_id: int | None, digest: str, block: bytes,
+                refers_to: int | None = None, media: str = "application/http;msgtype=response") -> bytes:
+    """One record; ``digest`` is the payload's hexadecimal SHA-1, ``block`` HTTP headers and (but for revisits) payload."""
     moment = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {moment}",
-             "Content-Type: application/http;msgtype=response",
-             f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}"]
+             f"Content-Type: {media}", f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}"]
     lines += [f"WARC-Target-URI: {url}"] * (url is not None)
     if kind == "revisit":
         lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, digest)}",
                   f"X-Refers-To-Page-Id: {refers_to}", "WARC-Truncated: length"]
-    return "\r\n".join([*lines, f"Content-Length: {len(block.encode())}", "", ""]) + block
+    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (lower case) and block of each record."""
     at = 0
     while at < len(data):
-        if data[at : at + 2] == b"\r\n":
-            at += 2
+        if data[at : at + 1] in (b"\r", b"\n"):
+            at += 1
             continue
         if data[at : at + 5] != b"WARC/":
             raise ValueError("not a WARC record")
@@ -126,20 +129,36 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = cut + size
 
 
-def _write_lines(df: DataFrame, path: str, end: str) -> None:
-    (df.write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
+def _write_files(df: DataFrame, path: str) -> None:
+    """A file for each row of ``df`` (one binary column). Bytes stay as they are in Spark's strings and its text writer."""
+    rows = df.select(F.col("value").cast("string"))
+    rows.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+
+
+def _in_files(records: Iterator[bytes], end: bytes, head: bytes = b"", most: int = FILE_BYTES) -> Iterator[tuple[bytes]]:
+    """Records as contents of files, each begun by ``head``; the text writer adds a line feed."""
+    held, size = [], 0
+    for r in records:
+        held += [r, end]
+        size += len(r) + len(end)
+        if size >= most:
+            yield (head + b"".join(held),)
+            held, size = [], 0
+    if held:
+        yield (head + b"".join(held),)
 
 
 def _files(spark, path: str) -> DataFrame:
-    """File contents as rows; a file is a whole partition's."""
+    """File contents as rows."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
+def _unpacked_bytes(files: Iterable[bytes]) -> Iterator[bytes]:
+    return (zlib.decompress(raw, 47) if raw[:2] == b"\x1f\x8b" else raw for raw in files)
+
+
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
-    for batch in batches:
-        for x in batch.column(0):
-            raw = x.as_py()
-            yield zlib.decompress(raw, 47) if raw[:2] == b"\x1f\x8b" else raw
+    return _unpacked_bytes(x.as_py() for batch in batches for x in batch.column(0))
 
 
 def _in_batches(rows: Iterator[tuple], fields: list[tuple[str, str]], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -155,31 +174,25 @@ def _in_batches(rows: Iterator[tuple], fields: list[tuple[str, str]], most: int
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
-def write_arc(pages: DataFrame, path: str, version: int | None = None) -> None:
+def write_arc(pages: DataFrame, path: str, version: int | None = None, most: int = FILE_BYTES) -> None:
     """``page_id, url, html`` as ARC files. Without ``version`` even partitions are written in version 1, odd ones in 2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         v, name = version or 1 + part % 2, f"part-{part}.arc"
+        records = (
+            arc_record(v, name, url, page_id, html).encode()
+            for batch in batches for page_id, url, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+        )
+        yield from _in_batches(_in_files(records, ARC_END, arc_head(v, name).encode(), most), [("value", "binary")])
 
-        def rows():
-            started = False
-            for batch in batches:
-                for page_id, url, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    if not started:
-                        yield (arc_head(v, name),)
-                        started = True
-                    yield (arc_record(v, name, url, page_id, html),)
-
-        yield from _in_batches(rows(), [("value", "string")])
-
-    docs = pages.selectExpr("cast(page_id as bigint) as page_id", "cast(url as string) as url", "cast(html as string) as html")
-    _write_lines(docs.mapInArrow(run, "value string"), path, ARC_END)
+    docs = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
+    _write_files(docs.mapInArrow(run, "value binary"), path)
 
 
 def read_arc(spark, path: str) -> DataFrame:
-    """ARC records: ``page_id, url, date, head`` (HTTP header), ``payload, digest, payload_bytes``."""
-    fields = [("page_id", "bigint"), ("url", "string"), ("date", "string"), ("head", "string"), ("payload", "string"),
+    """ARC records: ``page_id, url, date, type, head`` (HTTP header), ``payload, digest, payload_bytes``."""
+    fields = [("page_id", "bigint"), ("url", "string"), ("date", "string"), ("type", "string"), ("head", "binary"), ("payload", "binary"),
               ("digest", "string"), ("payload_bytes", "bigint")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,38 +200,42 @@ def read_arc(spark, path: str) -> DataFrame:
             for data in _unpacked(batches):
                 for r in parse_arc(data):
                     http, head, body = split_http(r["block"])
-                    page = http.get("x-page-id") or None
-                    yield (int(page) if page else None, None if r["URL"] == "-" else r["URL"], r["Archive-date"],
-                           head.decode("latin-1"), body.decode(), hashlib.sha1(body).hexdigest(), len(body))
+                    page, url = http.get("x-page-id") or None, r["URL"].encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+                    yield (int(page) if page else None, None if url == "-" else url, r["Archive-date"], r["Content-type"],
+                           head, body, hashlib.sha1(body).hexdigest(), len(body))
 
         yield from _in_batches(rows(), fields)
 
     return _files(spark, path).mapInArrow(run, ddl(fields))
 
 
-def convert(spark, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT) -> None:
-    """ARC files to WARC files. Only digests that repeat are joined; the digest counts combine before their shuffle."""
-    records = read_arc(spark, arc_path)
-    twice = (
-        records.where(F.col("payload_bytes") >= min_bytes).groupBy("digest")
-        .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
-        .where("n > 1 and response_id is not null").select("digest", "response_id")
-    )
-    joined = records.join(twice, "digest", "left")
+def convert(spark, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT, most: int = FILE_BYTES) -> None:
+    """ARC files to WARC files. Digests are counted on narrow rows that combine before their shuffle; only digests that
+    repeat are joined."""
+    with Scratch(spark) as tmp:
+        records = read_arc(spark, arc_path)
+        twice = tmp.write(
+            records.where((F.col("payload_bytes") >= min_bytes) & (F.length("head") > 0)).groupBy("digest")
+            .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
+            .where("n > 1 and response_id is not null").select("digest", "response_id")
+        )
+        joined = records.join(twice, "digest", "left")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                for url, date, page, digest, head, body, to in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                    if to is None or page == to:
-                        yield (warc_record("response", url, date, page, digest, head + body),)
-                    else:
-                        yield (warc_record("revisit", url, date, page, digest, head, to),)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def rows():
+                for batch in batches:
+                    for url, date, kind, page, digest, head, body, to in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                        if not head:
+                            yield warc_record("resource", url, date, page, digest, body, media=kind)
+                        elif to is None or page == to:
+                            yield warc_record("response", url, date, page, digest, head + body)
+                        else:
+                            yield warc_record("revisit", url, date, page, digest, head, to)
 
-        yield from _in_batches(rows(), [("value", "string")])
+            yield from _in_batches(_in_files(rows(), WARC_END, most=most), [("value", "binary")])
 
-    order = joined.select("url", "date", "page_id", "digest", "head", "payload", "response_id")
-    _write_lines(order.mapInArrow(run, "value string"), warc_path, WARC_END)
+        order = joined.select("url", "date", "type", "page_id", "digest", "head", "payload", "response_id")
+        _write_files(order.mapInArrow(run, "value binary"), warc_path)
 
 
 def read_warc(spark, path: str) -> DataFrame:
@@ -231,14 +248,15 @@ def read_warc(spark, path: str) -> DataFrame:
         def rows():
             for data in _unpacked(batches):
                 for head, block in parse_warc(data):
-                    http, _, body = split_http(block)
+                    kind = head["warc-type"]
+                    http, _, body = split_http(block) if kind != "resource" else ({}, b"", block)
                     declared = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    revisit = head["warc-type"] == "revisit"
-                    if not revisit and (hashlib.sha1(body).hexdigest() != declared or len(body) != int(http["content-length"])):
+                    size = int(http.get("content-length", len(body)))
+                    if kind != "revisit" and (hashlib.sha1(body).hexdigest() != declared or len(body) != size):
                         raise ValueError("a payload differs from its digest")
                     page = http.get("x-page-id") or None
-                    yield (int(page) if page else None, int(http["content-length"]), declared, head["warc-type"],
-                           int(head["x-refers-to-page-id"]) if revisit else None, head.get("warc-target-uri"))
+                    yield (int(page) if page else None, size, declared, kind,
+                           int(head["x-refers-to-page-id"]) if kind == "revisit" else None, head.get("warc-target-uri"))
 
         yield from _in_batches(rows(), fields)
 
@@ -246,9 +264,14 @@ def read_warc(spark, path: str) -> DataFrame:
 
 
 def archive(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """``page_id, url, html`` through ARC and WARC files in the shared folder and back, as ``read_warc`` gives it."""
-    spark = pages.sparkSession
+    """``page_id, url, html`` through ARC and WARC files in the shared folder and back, as ``read_warc`` gives it. The
+    archives go when they have been read."""
+    spark = prepare(pages.sparkSession)
     path = shared_dir(spark)
-    write_arc(pages, f"{path}/arc")
-    convert(spark, f"{path}/arc", f"{path}/warc", min_bytes)
-    return read_warc(spark, f"{path}/warc")
+    try:
+        write_arc(pages, f"{path}/arc")
+        convert(spark, f"{path}/arc", f"{path}/warc", min_bytes)
+        with Scratch(spark) as tmp:
+            return tmp.keep(tmp.write(read_warc(spark, f"{path}/warc")))
+    finally:
+        delete_path(spark, path)
