@@ -2,24 +2,29 @@
 
 Each token's bytes become printable characters one to one; a token is a piece with score ``-rank`` under identity
 normalization, so the library's best-score merges are the rank file's lowest-rank merges. Texts are cut into
-pre-tokens first and each is encoded by itself; ids are the ranks. Decoding maps pieces back to bytes.
+pre-tokens first and each is encoded by itself; ids are the ranks. A pre-token that is a token as a whole is that token,
+whatever merges lead to, as in the rank file's library. Decoding maps ids to the model's pieces, and their characters
+back to bytes.
 
 Defined cases: null counts as empty and has no ids; every byte must be a token of the rank file; special tokens don't
-exist, their strings are ordinary text; repeated rows are encoded alike.
+exist, their strings are ordinary text; repeated rows are encoded alike; a very long text is one row, held at once; an
+empty table gives no rows; other columns are dropped (``decoded`` keeps them), whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .runtime import with_columns
+from .runtime import Memo, prepare, with_columns
 
-#: Pre-tokens whose ids a worker remembers.
-CACHE = 500_000
+#: Pre-tokens of a generation whose ids a worker remembers.
+CACHE = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -62,32 +67,23 @@ class ByteBpe:
         ranks = read_ranks(rank_file)
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=serialise(ranks))
         self.ranks = ranks
-        self.bytes_of = {i: t for t, i in ranks.items()}
+        byte_of = {c: b for b, c in enumerate(byte_letters())}
+        self.bytes_of = [bytes(map(byte_of.__getitem__, self.processor.id_to_piece(i))) for i in range(len(ranks))]
         #: In the rank file's pattern white space is Unicode's White_Space; four control characters aren't.
         self.split = regex.compile(pattern.replace("\\s", "\\p{White_Space}").replace("\\S", "\\P{White_Space}")).findall
         self._table = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
-        self._known: dict[str, tuple[int, ...]] = {}
-
-    def _fill(self, missing: list[str]) -> dict[str, tuple[int, ...]]:
-        found, rest = {}, []
-        for p in missing:
-            rank = self.ranks.get(p.encode())
-            if rank is None:
-                rest.append(p)
-            else:  # a whole pre-token that is a token needs no merges
-                found[p] = (rank,)
-        mapped = [p.encode().decode("latin-1").translate(self._table) for p in rest]
-        found |= zip(rest, map(tuple, self.processor.encode(mapped, num_threads=1)), strict=True)
-        room = CACHE - len(self._known)
-        if room > 0:
-            self._known |= dict(list(found.items())[:room])
-        return found
+        self._known = Memo(CACHE, self._fill)
+
+    def _fill(self, missing: list[str]) -> list[tuple[int, ...]]:
+        whole = [self.ranks.get(p.encode()) for p in missing]
+        rest = [p.encode().decode("latin-1").translate(self._table) for p, rank in zip(missing, whole, strict=True) if rank is None]
+        merged = iter(self.processor.encode(rest, num_threads=1))
+        return [tuple(next(merged)) if rank is None else (rank,) for rank in whole]
 
     def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        known = self._known
         pieces = [self.split(t) if t else [] for t in texts]
-        new = self._fill(list({p for ps in pieces for p in ps if p not in known}))
-        return [[i for p in ps for i in (known[p] if p in known else new[p])] for ps in pieces]
+        known = self._known.fetch(set().union(*pieces)).__getitem__
+        return [list(chain.from_iterable(map(known, ps))) for ps in pieces]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -110,7 +106,8 @@ def with_ids(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
         c = codec(rank_file, pattern)
         return lambda cols: {out: c.encode_batch(cols["text"])}
 
-    docs = df.selectExpr(f"`{id_col}` as doc_id", f"`{text_col}` as text")
+    prepare(df.sparkSession)
+    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return with_columns(docs, ["text"], make, [(out, "array<int>")]).drop("text")
 
 
@@ -141,6 +138,7 @@ def digests(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text",
 
         return step
 
-    docs = df.selectExpr(f"`{id_col}` as doc_id", f"`{text_col}` as text")
+    prepare(df.sparkSession)
+    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     fields = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
     return with_columns(docs, ["text"], make, fields).drop("text")

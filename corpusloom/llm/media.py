@@ -2,11 +2,14 @@
 
 An Aho-Corasick automaton finds magic bytes anywhere in a value; a validator per format then confirms structure and
 lengths, so text that merely contains ``BM`` or ``GIF89a`` isn't media. A confirmed format at offset 0 that spans the
-value corrects the declared type; confirmed formats further in are carved out. ``store`` writes payloads as 8-bit PCM
-samples in a RIFF/WAVE value and ``probe`` reads values back through the sniffer alone.
+value corrects the declared type; confirmed formats further in are carved out. ``store`` writes payloads as 8-bit samples
+of one of three formats, sound or picture, under a declared type that is often wrong, both chosen by the payload's
+checksum; ``probe`` reads values back through the sniffer alone, which isn't told either.
 
 Defined cases: a null text is the empty payload (one padding unit); a null or unrecognised value keeps its declared
-type with no payload; truncated or corrupt structures aren't confirmed; equal values give equal results.
+type with no payload; truncated or corrupt structures aren't confirmed; equal values give equal results; a very long
+text is one value, held at once; an empty table gives no rows; ``store`` drops other columns, ``carve`` and ``probe`` keep
+them but for those of their own names.
 """
 
 from __future__ import annotations
@@ -18,8 +21,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .runtime import with_columns
+from .runtime import prepare, with_columns
 
 UNIT = 576
 RATE = 8000
@@ -220,22 +224,44 @@ def to_wav(payload: bytes, rate: int = RATE) -> bytes:
     return struct.pack("<4sI", b"RIFF", len(body)) + body
 
 
+def to_pgm(payload: bytes, unit: int = UNIT) -> bytes:
+    """A grey picture, ``unit`` pixels wide."""
+    return b"P5\n%d %d\n255\n" % (unit, len(payload) // unit) + payload
+
+
+def to_bmp(payload: bytes, unit: int = UNIT) -> bytes:
+    """A picture of 256 greys, ``unit`` pixels wide, rows from the top."""
+    offset = 14 + 40 + 1024
+    head = struct.pack("<2sIII", b"BM", offset + len(payload), 0, offset)
+    form = struct.pack("<IiiHHIIiiII", 40, unit, -(len(payload) // unit), 1, 8, 0, len(payload), 2835, 2835, 256, 0)
+    return head + form + b"".join(bytes((i, i, i, 0)) for i in range(256)) + payload
+
+
+#: Ways to store a payload, and the types that a value may be declared as.
+CONTAINERS = (to_wav, to_pgm, to_bmp)
+DECLARED = ("audio/wav", "image/x-portable-anymap", "image/bmp", "application/octet-stream", "text/plain")
+
+
 def padded(raw: bytes, unit: int = UNIT) -> bytes:
     return raw + b"\xff" * (max(1, -(-len(raw) // unit)) * unit - len(raw))
 
 
 def store(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", unit: int = UNIT) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``declared`` and the ``media`` value of each text. Nothing names the true type yet."""
+    """``doc_id``, ``n_bytes``, ``declared`` and the ``media`` value of each text. A payload's checksum picks its container
+    and, independently, the type it is declared as."""
 
     def make():
         def step(cols):
             raw = [t.encode() if t else b"" for t in cols["text"]]
-            return {"n_bytes": list(map(len, raw)), "declared": ["application/octet-stream"] * len(raw),
-                    "media": [to_wav(padded(x, unit)) for x in raw]}
+            payloads = [padded(x, unit) for x in raw]
+            sums = [zlib.crc32(x) for x in payloads]
+            return {"n_bytes": list(map(len, raw)), "declared": [DECLARED[(k >> 8) % len(DECLARED)] for k in sums],
+                    "media": [CONTAINERS[k % len(CONTAINERS)](x) for k, x in zip(sums, payloads, strict=True)]}
 
         return step
 
-    docs = df.selectExpr(f"`{id_col}` as doc_id", f"`{text_col}` as text")
+    prepare(df.sparkSession)
+    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     fields = [("n_bytes", "bigint"), ("declared", "string"), ("media", "binary")]
     return with_columns(docs, ["text"], make, fields).drop("text")
 

@@ -5,25 +5,33 @@ compatible when the merges leave their concatenation as just these two). So one
 prefix's last piece and ``count[i] = count[i - len(last)] + 1``. No merge crosses a piece boundary that the vocabulary
 can't hold: before a space mark that follows another character, around a line feed, and between letters and other
 characters (each checked against the vocabulary when it is loaded). A text therefore is a run of
-segments whose counts add up; a document's table stores the running sum at segment ends, and the segment's own
-table answers positions inside it. Truncation and budgets are looked up there, nothing is encoded again.
+segments whose counts add up, and its prefix table is that of its segments, one after the other.
 
-Defined cases: null counts as empty; an empty text has no tokens; U+2581 in a text is the space mark, as in the library.
+``prefix_tables`` stores the table, one byte a character: by how much the count changes there. A token has 127 characters
+at most, so a byte is enough. ``n_tokens``, ``count_at`` and ``fit`` answer counts, truncation and budgets from the stored
+table alone; neither text nor model is needed again.
+
+Defined cases: null counts as empty; an empty text has no tokens; U+2581 in a text is the space mark, as in the library;
+a very long text's table is one row; repeated rows have a table each; an empty table gives no rows; other columns are
+dropped, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
-from itertools import accumulate
+from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .runtime import with_columns
+from .runtime import Memo, Scratch, map_columns, prepare, with_columns
 
 MARK = "▁"
-#: Segments whose counts a worker remembers.
-CACHE = 600_000
+#: Segments of a generation whose tables a worker remembers.
+CACHE = 300_000
+#: Pairs of pieces whose meeting a worker remembers.
+PAIRS = 600_000
 
 
 class PrefixCounter:
@@ -40,8 +48,8 @@ class PrefixCounter:
             raise ValueError("a BPE model with identity normalization and kept white space is needed")
         self.dummy = spec.add_dummy_prefix
         self.score = {p.piece: p.score for p in model.pieces if p.type in (1, 4, 5)}
-        if any(MARK in p.lstrip(MARK) for p in self.score) or any("\n" in p for p in self.score):
-            raise ValueError("pieces must not cross words or lines")
+        if any(MARK in p.lstrip(MARK) or "\n" in p or len(p) > 127 for p in self.score):
+            raise ValueError("pieces must not cross words or lines, nor have over 127 characters")
         ends: dict[str, set[int]] = {}
         for p in self.score:
             ends.setdefault(p[-2:], set()).add(len(p))
@@ -50,7 +58,7 @@ class PrefixCounter:
         self._pairs: dict[tuple[str, str], bool] = {}
         self._whole: dict[str, bool] = {}
         self._spines: dict[tuple[str, bool], tuple[list[str], list[float]]] = {}
-        self._counts: dict[str, int] = {}
+        self._tables = Memo(CACHE, lambda segments: map(self._changes, segments))
         #: Letters; superscript two joins a full stop in some vocabularies.
         letters = "[^\\W\\d_²]"
         mixed = re.compile(f"{letters}(?!{letters})[^{MARK}]|(?!{letters})[^{MARK}]{letters}")
@@ -80,7 +88,7 @@ class PrefixCounter:
     def _compatible(self, a: str, b: str) -> bool:
         v = self._pairs.get((a, b))
         if v is None:
-            if len(self._pairs) > CACHE:
+            if len(self._pairs) > PAIRS:
                 self._pairs.clear()
             v = self._pairs[a, b] = self._meet(a, b)
         return v
@@ -149,49 +157,32 @@ class PrefixCounter:
                 break
         return counts
 
-    def count(self, segment: str) -> int:
-        n = self._counts.get(segment)
-        if n is None:
-            n = self.table(segment)[-1]
-            if len(self._counts) < CACHE:
-                self._counts[segment] = n
-        return n
+    def _changes(self, segment: str) -> bytes:
+        """The differences of a segment's table, a signed byte each."""
+        counts = self.table(segment)
+        return np.array([b - a for a, b in zip(counts, counts[1:], strict=False)], np.int8).tobytes()
 
     def segments(self, text: str | None) -> list[str]:
         if not text:
             return []
         return self._segment.findall(((MARK if self.dummy else "") + text).replace(" ", MARK))
 
-    def running(self, text: str | None) -> list[int]:
-        """Token counts at the segment ends of a text; the last is the text's."""
-        if not text:
-            return [0]
-        known = self._counts
-        return list(accumulate([known[s] if s in known else self.count(s) for s in self.segments(text)]))
-
-    def total(self, text: str | None) -> int:
-        return self.running(text)[-1]
-
-    def prefix_count(self, text: str | None, chars: int) -> int:
-        """Tokens of ``text[:chars]``."""
-        left, n = chars + (1 if self.dummy and text and chars > 0 else 0), 0
-        for s in self.segments(text):
-            if left <= 0:
-                break
-            n += self.count(s) if left >= len(s) else self.table(s)[left]
-            left -= len(s)
-        return n
-
-    def fit(self, text: str | None, budget: int) -> int:
-        """The most characters of ``text`` whose prefix has at most ``budget`` tokens."""
-        segments, ends = self.segments(text), self.running(text)
-        k = bisect_right(ends, budget) if segments else 0
-        chars = sum(map(len, segments[:k]))
-        if k < len(segments):
-            room = budget - (ends[k - 1] if k else 0)
-            inside = self.table(segments[k])
-            chars += max(i for i, n in enumerate(inside) if n <= room)
-        return max(0, chars - (1 if self.dummy and segments else 0))
+    def changes(self, texts: Iterable[str | None]) -> list[bytes]:
+        """A text's prefix table as differences, one signed byte a character of the text. What the model puts before a
+        text counts with its first character."""
+        runs = [self.segments(t) for t in texts]
+        known = self._tables.fetch(set().union(*runs)).__getitem__
+        out = [b"".join(map(known, r)) for r in runs]
+        return [_first_two_as_one(x) for x in out] if self.dummy else out
+
+
+def _first_two_as_one(changes: bytes) -> bytes:
+    return (int.from_bytes(changes[:1], signed=True) + int.from_bytes(changes[1:2], signed=True)).to_bytes(1, signed=True) + changes[2:] if changes else changes
+
+
+def prefix_counts(changes: bytes | None) -> np.ndarray:
+    """Token counts of all prefixes, the empty one first, from a stored table."""
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(np.frombuffer(changes or b"", np.int8), dtype=np.int64)])
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -204,25 +195,46 @@ def counter(model_file: str) -> PrefixCounter:
     return _counters[model_file]
 
 
-def with_token_counts(df: DataFrame, model_file: str, text_col: str = "text", limit: int = 4096,
-                      ends: bool = False, id_col: str = "doc_id") -> DataFrame:
-    """``id_col``, ``n_bytes``, ``n_tokens`` and ``over_limit``; with ``ends`` also the running counts at segment ends
-    (``token_ends``) and ``fit_chars``, the longest prefix within ``limit``. Repeated rows stay, each counted alike."""
+def prefix_tables(df: DataFrame, model_file: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``n_bytes`` and ``changes``, the text's prefix table."""
+    prepare(df.sparkSession)
 
     def make():
         c = counter(model_file)
+        return lambda cols: {"doc_id": cols["doc_id"], "n_bytes": [len(t.encode()) if t else 0 for t in cols["text"]], "changes": c.changes(cols["text"])}
+
+    docs = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return map_columns(docs, make, [("doc_id", "bigint"), ("n_bytes", "bigint"), ("changes", "binary")])
+
+
+def count_at(tables: DataFrame, chars_col: str, out: str = "n_tokens_at") -> DataFrame:
+    """``tables`` with the tokens of each text's first ``chars_col`` characters (null: all; beyond the text: all)."""
 
+    def make():
+        def one(changes, chars):
+            return int(np.frombuffer((changes or b"")[: None if chars is None else max(0, chars)], np.int8).sum(dtype=np.int64))
+
+        return lambda cols: {out: [one(t, n) for t, n in zip(cols["changes"], cols[chars_col], strict=True)]}
+
+    return with_columns(tables, ["changes", chars_col], make, [(out, "bigint")])
+
+
+def fit(tables: DataFrame, budget: int, out: str = "fit_chars") -> DataFrame:
+    """``tables`` with ``n_tokens``, and in ``out`` the length of each text's longest prefix of at most ``budget`` tokens."""
+
+    def make():
         def step(cols):
-            runs = [c.running(t) for t in cols["text"]]
-            out = {"n_bytes": [len(t.encode()) if t else 0 for t in cols["text"]], "n_tokens": [r[-1] for r in runs],
-                   "over_limit": [r[-1] > limit for r in runs]}
-            if ends:
-                out |= {"token_ends": runs, "fit_chars": [c.fit(t, limit) for t in cols["text"]]}
-            return out
+            counts = [prefix_counts(t) for t in cols["changes"]]
+            return {"n_tokens": [int(c[-1]) for c in counts], out: [int(np.flatnonzero(c <= budget)[-1]) for c in counts]}
 
         return step
 
-    fields = [("n_bytes", "bigint"), ("n_tokens", "bigint"), ("over_limit", "boolean")]
-    fields += [("token_ends", "array<bigint>"), ("fit_chars", "bigint")] * ends
-    docs = df.selectExpr(f"`{id_col}` as doc_id", f"`{text_col}` as text")
-    return with_columns(docs, ["text"], make, fields).drop("text")
+    return with_columns(tables, ["changes"], make, [("n_tokens", "bigint"), (out, "bigint")])
+
+
+def with_token_counts(df: DataFrame, model_file: str, text_col: str = "text", limit: int = 4096, id_col: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``n_bytes``, ``n_tokens``, ``over_limit``, and ``fit_chars``, the longest prefix within ``limit``: all
+    looked up in the tables, which are written to the shared folder first."""
+    with Scratch(prepare(df.sparkSession)) as tmp:
+        tables = tmp.keep(tmp.write(prefix_tables(df, model_file, text_col, id_col)))
+    return fit(tables, limit).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars")

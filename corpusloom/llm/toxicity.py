@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Small transducers read a clause's words: insult (a lexicon hit), threat (intent, then a harmful verb), target (a
-person addressed or named by a pronoun), negation (a scope of some words) and reported speech (a reporting verb or a
-quotation mark, to the clause's end). They are composed into one machine, whose product states are built as they are
-met. Its outputs are insult and threat events with the weight of their context; a clause's score is the weighted sum of
-its events, up to a cap, and a document's score is a logistic function of the sum over its clauses.
+A lexicon transducer turns a clause's words into symbols with a weight. Small transducers read the symbols: insult (a
+lexicon hit), threat (intent, then a harmful verb), target (a person addressed or named by a pronoun, anywhere in the
+clause), negation (a scope of some words) and reported speech (a reporting verb or a quotation mark, to the clause's end).
+Their arcs and final states carry weights: an event's weight lies on the arc that puts it out, a context's on all arcs of
+its scope, the target's on the final state. Composition multiplies the weights of arcs taken together; the product's
+states are built as they are met. A clause's score is the sum of its events' weights times the final weight, up to a cap,
+and a document's score is a logistic function of the sum over its clauses.
 
 The insult lexicon holds seed words and entries learned from labels: words or word beginnings that occur in toxic
 training documents far more often than chance allows, counted by documents and by distinct neighbours, so that copies of
@@ -12,7 +14,9 @@ one document don't make an entry. Training uses at most ``TOXIC_SAMPLE`` and ``C
 expectation), drawn by a hash of the id, never held-out ones (crc32 of the id as text, mod 5, is 0). Scores depend on texts alone.
 
 Defined cases: null and empty texts have no clause and get the lowest score; a document labelled twice counts as toxic
-if one label says so; without labels the seeds and a fixed logistic function decide; repeated rows score alike.
+if one label says so; without labels the seeds and a fixed logistic function decide; repeated rows score alike; a very
+long text is read clause by clause, whole (those above ``TEXT_BYTES`` aren't in the training sample); an empty table gives
+no rows; other columns are kept by ``with_scores`` and ``keep_clean``, whatever their names, and dropped by ``report``.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 from .runtime import prepare, with_columns
 
 TOXIC_SAMPLE, CLEAN_SAMPLE = 1500, 3000
+#: Bytes of a text that may be in the sample, so that what comes to the driver is bounded; longer ones aren't drawn.
+TEXT_BYTES = 200_000
 FOLDS = 5
 #: Shortest and longest word beginning that may become an entry, and the most entries.
 STEM, LONGEST, ENTRIES = 4, 12, 1000
@@ -50,50 +56,52 @@ REPORT = frozenset("""said says say told wrote called claimed quoted sagte sagt
     escribió""".split())
 QUOTES = frozenset('"“”«»„')
 
-#: Weights: of an event whose clause has no context, and the factors of contexts.
+#: Weights: of an event without context, and of contexts.
 WEIGHT = {"insult": 1.0, "threat": 2.0}
 FACTOR = {"target": 1.5, "negated": 0.5, "reported": 0.6}
 CLAUSE_CAP = 6.0
 SCOPE = 3
 
+#: What an arc leads to: the next state, the arc's weight, and whether it puts an event out.
+Arc = tuple[int, float, bool]
+
 
 class Transducer:
-    """A deterministic transducer over symbols: ``moves[state][symbol]`` is the next state and what is put out.
-    A state's ``None`` entry holds for symbols it doesn't name."""
+    """A deterministic weighted transducer over symbols. ``arcs[state][symbol]``; a state's ``None`` entry holds for
+    symbols it doesn't name. ``final`` has the weights of final states other than 1."""
 
-    def __init__(self, moves: dict[int, dict[str | None, tuple[int, str | None]]]) -> None:
-        self.moves = moves
+    def __init__(self, arcs: dict[int, dict[str | None, Arc]], final: dict[int, float] | None = None) -> None:
+        self.arcs, self.final = arcs, final or {}
 
-    def step(self, state: int, symbol: str) -> tuple[int, str | None]:
-        row = self.moves[state]
+    def step(self, state: int, symbol: str) -> Arc:
+        row = self.arcs[state]
         return row.get(symbol) or row[None]
 
 
-def _machines() -> dict[str, Transducer]:
-    stay = {None: (0, None)}
-    scope = {k: {"negation": (SCOPE, "negated"), None: (k - 1, "negated" if k else None)} for k in range(1, SCOPE + 1)}
-    return {
-        "insult": Transducer({0: stay | {"insult": (0, "insult")}}),
-        "threat": Transducer({
-            0: stay | {"intent": (1, None)},
-            1: {"harm": (0, "threat"), "intent": (1, None), None: (2, None)},
-            2: {"harm": (0, "threat"), "intent": (1, None), None: (0, None)},
-        }),
-        "target": Transducer({0: stay | {"target": (1, "target")}, 1: {None: (1, "target")}}),
-        "negation": Transducer({0: stay | {"negation": (SCOPE, None)}} | scope),
-        "report": Transducer({0: stay | {"report": (1, None), "quote": (1, None)}, 1: {"quote": (0, "reported"), None: (1, "reported")}}),
-    }
+def _machines() -> list[Transducer]:
+    """Insult, threat, target, negation and reported speech."""
+    stay: dict[str | None, Arc] = {None: (0, 1.0, False)}
+    intent, harm = (1, 1.0, False), (0, WEIGHT["threat"], True)
+    negated, reported, target = FACTOR["negated"], FACTOR["reported"], FACTOR["target"]
+    return [
+        Transducer({0: stay | {"insult": (0, WEIGHT["insult"], True)}}),
+        Transducer({0: stay | {"intent": intent}, 1: {"harm": harm, "intent": intent, None: (2, 1.0, False)}, 2: stay | {"harm": harm, "intent": intent}}),
+        Transducer({0: stay | {"target": (1, 1.0, False)}, 1: {None: (1, 1.0, False)}}, {1: target}),
+        Transducer({0: stay | {"negation": (SCOPE, 1.0, False)}} | {
+            k: {"negation": (SCOPE, negated, False), None: (k - 1, negated, False)} for k in range(1, SCOPE + 1)}),
+        Transducer({0: stay | {"report": (1, 1.0, False), "quote": (1, 1.0, False)}, 1: {"quote": (0, reported, False), None: (1, reported, False)}}),
+    ]
 
 
 class Composed:
-    """The product of transducers, built state by state as clauses need it."""
+    """The product of weighted transducers, built state by state as clauses need it."""
 
-    def __init__(self, machines: dict[str, Transducer]) -> None:
-        self.machines = list(machines.values())
+    def __init__(self, machines: list[Transducer]) -> None:
+        self.machines = machines
         self.ids: dict[tuple[int, ...], int] = {}
         self.states: list[tuple[int, ...]] = []
-        self.table: dict[tuple[int, str], tuple[int, frozenset[str]]] = {}
-        self.start = self._id((0,) * len(self.machines))
+        self.table: dict[tuple[int, str], Arc] = {}
+        self.start = self._id((0,) * len(machines))
 
     def _id(self, state: tuple[int, ...]) -> int:
         if state not in self.ids:
@@ -101,14 +109,17 @@ class Composed:
             self.states.append(state)
         return self.ids[state]
 
-    def step(self, state: int, symbol: str) -> tuple[int, frozenset[str]]:
+    def step(self, state: int, symbol: str) -> Arc:
         got = self.table.get((state, symbol))
         if got is None:
-            moves = [m.step(s, symbol) for m, s in zip(self.machines, self.states[state], strict=True)]
-            got = self._id(tuple(s for s, _ in moves)), frozenset(o for _, o in moves if o)
-            self.table[state, symbol] = got
+            arcs = [m.step(s, symbol) for m, s in zip(self.machines, self.states[state], strict=True)]
+            weight = math.prod(w for _, w, _ in arcs)
+            got = self.table[state, symbol] = self._id(tuple(s for s, _, _ in arcs)), weight, any(e for _, _, e in arcs)
         return got
 
+    def final(self, state: int) -> float:
+        return math.prod(m.final.get(s, 1.0) for m, s in zip(self.machines, self.states[state], strict=True))
+
 
 @dataclass
 class Grammar:
@@ -149,19 +160,14 @@ class Grammar:
         return "other", 0.0
 
     def clause(self, words: Iterable[str]) -> float:
-        """A clause's score. A target counts wherever it stands in the clause."""
-        state, events, targeted = self.machine.start, [], False
+        """A clause's score: the lexicon's weight of a word times its arc's, over all events, times the final weight."""
+        state, total = self.machine.start, 0.0
         for word in words:
             symbol, weight = self.symbol(word)
-            state, out = self.machine.step(state, symbol)
-            targeted = targeted or "target" in out
-            for kind in ("insult", "threat"):
-                if kind in out:
-                    value = WEIGHT[kind] * weight
-                    for context in ("negated", "reported"):
-                        value *= FACTOR[context] if context in out else 1.0
-                    events.append(value)
-        return min(CLAUSE_CAP, sum(events) * (FACTOR["target"] if targeted else 1.0))
+            state, arc, event = self.machine.step(state, symbol)
+            if event:
+                total += weight * arc
+        return min(CLAUSE_CAP, total * self.machine.final(state))
 
     def _hit(self, text: str) -> bool:
         """Whether any clause can score: an entry at the beginning of a word."""
@@ -277,9 +283,9 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     share = F.when(F.col("toxic") == 1, TOXIC_SAMPLE / max(1, count.get(1, 0))).otherwise(CLEAN_SAMPLE / max(1, count.get(0, 0)))
     sample = known.where(draw < share)
     rows = (
-        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
+        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where(F.octet_length("text") <= TEXT_BYTES)
         .join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
-    )  # one text an id, so the two sample sizes bound what comes to the driver
+    )  # one text an id, so the two sample sizes and TEXT_BYTES bound what comes to the driver
     rows.sort(key=lambda r: (r["id"], r["text"]))
     texts, toxic = [r["text"] for r in rows], [int(r["toxic"] == 1) for r in rows]
     words, stems = learn_entries(texts, toxic)
@@ -302,7 +308,7 @@ def with_scores(df: DataFrame, grammar: Grammar, text_col: str = "text", out: st
 def report(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``. A null id isn't held out."""
     grammar = train(docs, labels, text_col, id_col)
-    rows = docs.selectExpr(f"`{id_col}` as doc_id", f"`{text_col}` as text")
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return with_scores(rows, grammar).select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
