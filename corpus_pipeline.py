@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import ngram_join, packing, quality, substring_dedup, toxicity
 from corpusloom.llm.queries import tokenizer_path
-from corpusloom.llm.runtime import load, prepare, release, written
+from corpusloom.llm.runtime import Scratch, load, prepare, release
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is written to the shared folder."""
+    """All stages over ``documents``; each result but the last is a table in the shared folder until the next is written."""
     docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
-        release(spark)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Scratch(spark) as tmp:
+        for name, stage in STAGES[:-1]:
+            before, docs = docs, tmp.write(stage(spark, docs, sf_dir))
+            if name != STAGES[0][0]:
+                tmp.drop(before)
+            release(spark)
+        return STAGES[-1][1](spark, docs, sf_dir)  # what packing returns reads its own table alone
