@@ -180,3 +180,44 @@ def path_pattern(patterns: list[str]) -> str:
     escaped = ("\\.".join("[^.]+" if s == "*" else s.replace("-", "\\-") for s in p.split(".")) for p in patterns)
     return f"^(?:{'|'.join(escaped)})$"
 
+
+
+def to_fixed(x: Column, digits: int) -> Column:
+    """A number that isn't negative with so many decimals, rounded by its exact binary value, ties up. The product's rounding
+    error is found by splitting both factors, so a value just below a tie isn't taken for one."""
+    scale = float(10**digits)
+    x = x.cast("double")
+    high = (x * 134217729.0) - ((x * 134217729.0) - x)
+    s_high = (scale * 134217729.0) - ((scale * 134217729.0) - scale)
+    low, s_low = x - high, scale - s_high
+    p = x * scale
+    error = ((high * s_high - p) + high * s_low + low * s_high) + low * s_low
+    whole = F.floor(p)
+    rest = p - whole
+    n = whole + F.when((rest > 0.5) | ((rest == 0.5) & (error >= 0)), 1).otherwise(0)
+    if not digits:
+        return n.cast("string")
+    unit = F.lit(10**digits).cast("long")
+    return F.concat(F.floor(n / unit).cast("string"), F.lit("."), F.lpad(F.pmod(n, unit).cast("string"), digits, "0"))
+
+
+def format_tokens(n: Column) -> Column:
+    return F.when(n < 1000, n.cast("string")).when(n < 1_000_000, F.concat(to_fixed(n / 1000, 1), F.lit("k"))).otherwise(F.concat(to_fixed(n / 1_000_000, 2), F.lit("M")))
+
+
+def format_cost(usd: Column) -> Column:
+    return F.when(usd == 0, "$0").when(usd < 0.01, F.concat(F.lit("$"), to_fixed(usd, 5))).otherwise(F.concat(F.lit("$"), to_fixed(usd, 4)))
+
+
+def format_duration(ms: Column) -> Column:
+    seconds = ms / 1000
+    minutes = F.floor(seconds / 60)
+    rest = F.floor(seconds - minutes * 60 + 0.5).cast("long")
+    return (
+        F.when(ms < 1000, F.concat(F.floor(ms + 0.5).cast("string"), F.lit("ms"))).when(seconds < 60, F.concat(to_fixed(seconds, 1), F.lit("s")))
+        .otherwise(F.concat(minutes.cast("string"), F.lit("m "), rest.cast("string"), F.lit("s")))
+    )
+
+
+def truncate(text: Column, most: int) -> Column:
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.left(text, F.lit(max(0, most - 1))), F.lit("…")))

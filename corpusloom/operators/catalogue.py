@@ -116,19 +116,23 @@ def merge_languages(original: Column, declared: Column, checked: Column, verifie
     return F.array_distinct(F.concat(F.array(original), F.array_except(declared, missing), verified))
 
 
-def upsert(rows: DataFrame, updates: DataFrame) -> DataFrame:
-    """Index rows after updates keyed by ``slug``. Paths are refreshed, blanks filled, ids of new rows follow the largest."""
+def upsert(rows: DataFrame, updates: DataFrame, default_type: str = "musician", page_type: str = "hidden") -> DataFrame:
+    """Index rows after updates keyed by ``slug``. Paths are refreshed, blanks filled, ids of new rows follow the largest or
+    begin with 1. An updated row without type gets the default one of entries with a dossier or of mere pages, a new row
+    without title its slug."""
     e, u = rows.alias("e"), updates.alias("u")
     top = rows.agg(F.max(F.col("id").try_cast("long")).alias("top_id"), F.max("position").alias("top_position"))
     both = e.join(u, F.col("e.slug") == F.col("u.slug"), "full_outer").crossJoin(F.broadcast(top))
     old = lambda c: F.coalesce(F.col(f"e.{c}"), F.col(f"u.{c}"))
+    typed = F.when(F.col("u.slug").isNotNull(), F.when(F.col("u.json").isNotNull(), default_type).otherwise(page_type))
+    found = {"title": F.coalesce(old("title"), F.when(F.col("e.slug").isNull(), F.col("u.slug"))), "type": F.coalesce(old("type"), typed)}
     merged = both.select(
         F.coalesce("e.slug", "u.slug").alias("slug"), F.col("e.id").alias("id"), F.col("e.position").alias("position"), "top_id", "top_position",
-        F.coalesce("u.md", "e.md").alias("md"), F.coalesce("e.json", "u.json").alias("json"), *[old(c).alias(c) for c in ("title", "type", "gender", "country", "img")])
+        F.coalesce("u.md", "e.md").alias("md"), F.coalesce("e.json", "u.json").alias("json"), *[found.get(c, old(c)).alias(c) for c in ("title", "type", "gender", "country", "img")])
     new = merged.where("id is null")
     # New rows are numbered in parts: counts of each part are summed, rows within it counted, and no task sees them all.
     numbered = number_rows(new, ["slug"])
-    fresh = numbered.withColumn("id", (F.coalesce("top_id", F.lit(-1)) + F.col("n")).cast("string")).withColumn("position", F.coalesce("top_position", F.lit(-1)) + F.col("n"))
+    fresh = numbered.withColumn("id", (F.coalesce("top_id", F.lit(0)) + F.col("n")).cast("string")).withColumn("position", F.coalesce("top_position", F.lit(-1)) + F.col("n"))
     return merged.where("id is not null").unionByName(fresh.drop("n")).drop("top_id", "top_position")
 
 

@@ -72,7 +72,7 @@ def complete(call: Callable[[str, str], str], targets: list[str], prompt: str, p
             except CallError as e:
                 kind, wish = e.kind, e.retry_after_ms
             tried.append((target, attempt, kind))
-            retry, other = (True, policy.fallback_on_invalid) if kind == "response_format" else DISPOSITIONS.get(kind, (True, True))
+            retry, other = (True, policy.fallback_on_invalid) if kind == "response_format" else DISPOSITIONS.get(kind, DISPOSITIONS["unknown"])
             if not retry:
                 break
             if attempt < policy.attempts and (wait := policy.delay_ms(attempt, wish)):

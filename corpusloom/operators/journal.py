@@ -38,29 +38,40 @@ def routed_chain(targets: DataFrame, tokens: int, margin: float = 0.9, reserve:
     return t.withColumn("rank", F.row_number().over(Window.partitionBy("pool").orderBy(*keys)))
 
 
-#: Error kinds by message, first match first, then by status; whether a kind is retried and whether another target may help.
+# Error kinds by message and provider code (lower case, first match first), by status, and by network code;
+# whether a kind is retried against the same target, and whether another target may help.
 MESSAGE_KINDS = (
-    ("context_length", "(?i)context.{0,20}(?:length|window)|maximum context|too many tokens"),
-    ("content_filter", "(?i)content.?filter|content policy|safety"),
-    ("quota", "(?i)quota|insufficient.{0,10}(?:credit|balance|fund)|billing"),
-    ("model_not_found", "(?i)model.{0,30}(?:not found|does not exist|unknown)"),
+    ("context_length", "context length|context_length|maximum context|too many tokens|prompt is too long|reduce the length"),
+    ("content_filter", "content filter|content_policy|safety|flagged"),
+    ("quota", "insufficient|quota|billing|credit|payment required"),
+    ("model_unavailable", "model .*(?:not found|unavailable|does not exist)|unknown model|no healthy deployment"),
 )
+STATUS_KINDS = {
+    429: "rate_limit", 401: "auth", 403: "auth", 402: "quota", 404: "model_unavailable", 408: "timeout", 409: "timeout",
+    413: "context_length", 422: "context_length",
+}
+NETWORK_CODES = """econnreset econnrefused econnaborted epipe etimedout enotfound eai_again ehostunreach enetunreach und_err_socket
+    und_err_connect_timeout""".split()
+NETWORK_MESSAGE = "fetch failed|socket hang up|network|econn|enotfound|eai_again"
 DISPOSITIONS = {
-    "rate_limit": (True, True), "server": (True, True), "timeout": (True, True), "network": (True, True), "auth": (False, True),
-    "quota": (False, True), "model_not_found": (False, True), "context_length": (False, True), "content_filter": (False, True),
-    "bad_request": (False, False), "unknown": (True, True),
+    "rate_limit": (True, True), "timeout": (True, True), "network": (True, True), "server": (True, True), "auth": (False, True),
+    "invalid_request": (False, False), "context_length": (False, True), "content_filter": (False, True), "quota": (False, True),
+    "model_unavailable": (False, True), "response_format": (True, True), "circuit_open": (False, True), "unknown": (False, True),
 }
 
 
-def error_kind(message: Column, status: Column) -> Column:
+def error_kind(message: Column, status: Column, code: Column | None = None) -> Column:
+    """An error's kind: what its message or provider code says, else its HTTP status, else the way the connection failed."""
+    code = F.lower(F.coalesce(code if code is not None else F.lit(None).cast("string"), F.lit("")))
+    said = F.concat_ws(" ", code, F.lower(F.coalesce(message, F.lit(""))))
     out = F.when(F.lit(False), None)
     for kind, pattern in MESSAGE_KINDS:
-        out = out.when(message.rlike(pattern), kind)
+        out = out.when(said.rlike(pattern), kind)
+    for number, kind in STATUS_KINDS.items():
+        out = out.when(status == number, kind)
     return (
-        out.when(status == 429, "rate_limit").when(status.isin(401, 403), "auth").when(status == 404, "model_not_found")
-        .when(status == 408, "timeout").when(status >= 500, "server").when(status >= 400, "bad_request")
-        .when(message.rlike("(?i)econn|enotfound|socket|network|fetch failed"), "network").when(message.rlike("(?i)timed? ?out|abort"), "timeout")
-        .otherwise("unknown")
+        out.when(status >= 500, "server").when(status >= 400, "invalid_request")
+        .when(code.isin(*NETWORK_CODES) | said.rlike(NETWORK_MESSAGE), "network").when(said.rlike("timed? ?out"), "timeout").otherwise("unknown")
     )
 
 
@@ -71,11 +82,21 @@ def disposition(kind: Column) -> Column:
     return out
 
 
-def retry_after_ms(header: Column) -> Column:
+def duration_ms(value: Column) -> Column:
     """Milliseconds of ``250ms``, ``1.5s``, ``2m``, ``1h`` or bare seconds."""
-    n = F.regexp_extract(header, "^\\s*(\\d+(?:\\.\\d+)?)\\s*(ms|s|m|h)?\\s*$", 1).try_cast("double")
-    unit = F.regexp_extract(header, "^\\s*(\\d+(?:\\.\\d+)?)\\s*(ms|s|m|h)?\\s*$", 2)
-    return F.when(n.isNotNull(), F.round(n * F.when(unit == "ms", 1).when(unit == "m", 60_000).when(unit == "h", 3_600_000).otherwise(1000))).cast("long")
+    pattern = "^\\s*([\\d.]+)(ms|s|m|h)?\\s*$"
+    n, unit = F.regexp_extract(value, pattern, 1).try_cast("double"), F.regexp_extract(value, pattern, 2)
+    return n * F.when(unit == "ms", 1).when(unit == "m", 60_000).when(unit == "h", 3_600_000).otherwise(1000)
+
+
+def retry_after_ms(retry_after: Column, now: Column, reset: Column | None = None) -> Column:
+    """A server's wish: ``Retry-After`` in seconds or as an HTTP date (from ``now`` on), else a rate limit's reset duration."""
+    zero, when = F.lit(0.0), F.try_to_timestamp(F.regexp_extract(retry_after, "^\\w{3}, (\\d{2} \\w{3} \\d{4} \\d{2}:\\d{2}:\\d{2}) GMT$", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+    seconds = F.when(F.trim(retry_after).rlike("^[+-]?(?:\\d+\\.?\\d*|\\.\\d+)(?:[eE][+-]?\\d+)?$"), F.trim(retry_after).try_cast("double"))
+    ahead = F.unix_millis(when) - F.unix_millis(now.cast("timestamp"))
+    wish = F.coalesce(seconds * 1000, ahead.cast("double"))
+    wish = F.when(wish.isNotNull(), F.greatest(zero, wish))
+    return F.round(F.coalesce(wish, duration_ms(reset)) if reset is not None else wish).cast("long")
 
 
 def backoff_ms(attempt: Column, first: int = 1000, factor: float = 2.0, most: int = 30_000, retry_after: Column | None = None) -> Column:

@@ -113,16 +113,16 @@ def editions(t: Tables) -> DataFrame:
 EXISTING = """select s_suppkey as position, cast(s_suppkey as string) as id, 'e' || cast(s_suppkey as string) as slug, '/old' || cast(s_suppkey as string) || '.md' as md,
     case s_suppkey % 2 when 0 then '/j.json' else null end as json, s_name as title, case s_suppkey % 3 when 0 then 'composer' else null end as type, cast(null as string) as gender,
     case s_suppkey % 4 when 0 then 'es' else null end as country, cast(null as string) as img from {supplier}"""
-UPDATES = """select 'e' || cast(c_custkey as string) as slug, case c_custkey % 5 when 0 then null else '/new' || cast(c_custkey as string) || '.md' end as md, '/n.json' as json, c_name as title,
-    'musician' as type, case c_custkey % 2 when 0 then 'm' else null end as gender, 'de' as country, 'i.jpg' as img from {customer} where c_custkey % 2 = 0"""
+UPDATES = """select 'e' || cast(c_custkey as string) as slug, case c_custkey % 5 when 0 then null else '/new' || cast(c_custkey as string) || '.md' end as md, case c_custkey % 6 when 0 then null else '/n.json' end as json,
+    case c_custkey % 7 when 0 then null else c_name end as title, case c_custkey % 8 when 0 then null when 2 then null else 'composer' end as type, case c_custkey % 2 when 0 then 'm' else null end as gender, 'de' as country, 'i.jpg' as img from {customer} where c_custkey % 2 = 0"""
 
 
-@query("M2_M3_M4_W2_index_upsert", f"""
-    with e as ({plain(EXISTING)}), u as ({plain(UPDATES)}), top as (select max(id::bigint) as i, max(position) as p from e),
+@query("M2_M3_W2_index_upsert", f"""
+    with e as ({plain(EXISTING)}), u as (select * replace (coalesce(type, case when json is null then 'hidden' else 'musician' end) as type) from ({plain(UPDATES)})), top as (select max(id::bigint) as i, max(position) as p from e),
     fresh as (select *, row_number() over (order by slug) as n from u where slug not in (select slug from e))
     select e.slug, e.id, e.position, coalesce(u.md, e.md) as md, coalesce(e.json, u.json) as json, coalesce(e.title, u.title) as title, coalesce(e.type, u.type) as type,
         coalesce(e.gender, u.gender) as gender, coalesce(e.country, u.country) as country, coalesce(e.img, u.img) as img from e left join u using (slug)
-    union all select slug, (i + n)::varchar, p + n, md, json, title, type, gender, country, img from fresh, top""")
+    union all select slug, (i + n)::varchar, p + n, md, json, coalesce(title, slug), type, gender, country, img from fresh, top""")
 def index_upsert(t: Tables) -> DataFrame:
     return catalogue.upsert(t.sql(EXISTING), t.sql(UPDATES))
 

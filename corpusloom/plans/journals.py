@@ -44,26 +44,47 @@ def costs(t: Tables) -> DataFrame:
     )
 
 
-_KIND = """case when regexp_matches(message, '(?i)context.{0,20}(?:length|window)|maximum context') then 'context_length' when regexp_matches(message, '(?i)content.?filter') then 'content_filter'
-    when regexp_matches(message, '(?i)quota') then 'quota' when regexp_matches(message, '(?i)model.{0,30}(?:not found|does not exist|unknown)') then 'model_not_found'
-    when status = 429 then 'rate_limit' when status in (401, 403) then 'auth' when status = 404 then 'model_not_found' when status >= 500 then 'server' when status >= 400 then 'bad_request'
-    when message = 'fetch failed' then 'network' when message = 'request timed out' then 'timeout' else 'unknown' end"""
+#: Errors as providers word them: a message, a status and a code, in all combinations that the events' numbers give.
+ERRORS = """
+    select event_id as seq, ts, event_id % 8 + 1 as attempt,
+        case event_id % 19 when 0 then 'This model''s Maximum Context length is 8192' when 1 then 'Prompt is too long' when 2 then 'please reduce the length' when 3 then 'Content filter hit'
+            when 4 then 'output was flagged' when 5 then 'Payment Required' when 6 then 'insufficient credit' when 7 then 'quota exceeded' when 8 then 'Model x is unavailable' when 9 then 'unknown model'
+            when 10 then 'no healthy deployment' when 11 then 'socket hang up' when 12 then 'fetch failed' when 13 then 'request timed out' when 14 then 'time out' when 15 then null else event_type end as message,
+        case event_id % 17 when 0 then 400 when 1 then 401 when 2 then 402 when 3 then 403 when 4 then 404 when 5 then 408 when 6 then 409 when 7 then 413 when 8 then 422 when 9 then 429 when 10 then 500
+            when 11 then 503 when 12 then 418 else null end as status,
+        case event_id % 5 when 0 then 'EPIPE' when 1 then 'context_length_exceeded' when 2 then 'E_OTHER' else null end as code,
+        case event_id % 9 when 0 then '7' when 1 then '1.5' when 2 then '-3' when 3 then 'soon' when 4 then 'Wed, 21 Oct 2015 07:28:00 GMT' when 5 then 'Fri, 01 Jan 2100 00:00:00 GMT' else null end as retry_after,
+        case event_id % 7 when 0 then '250ms' when 1 then '1.5s' when 2 then '2m' when 3 then '1h' when 4 then '20' when 5 then 'later' else null end as reset
+    from {events}"""
+
+#: The kinds case by case, as a table of what is asked first.
+_KIND = """case when said like '%context length%' or said like '%context_length%' or said like '%maximum context%' or said like '%too many tokens%' or said like '%prompt is too long%' or said like '%reduce the length%'
+        then 'context_length'
+    when said like '%content filter%' or said like '%content_policy%' or said like '%safety%' or said like '%flagged%' then 'content_filter'
+    when said like '%insufficient%' or said like '%quota%' or said like '%billing%' or said like '%credit%' or said like '%payment required%' then 'quota'
+    when said like '%model %not found%' or said like '%model %unavailable%' or said like '%model %does not exist%' or said like '%unknown model%' or said like '%no healthy deployment%' then 'model_unavailable'
+    when status in (402) then 'quota' when status in (401, 403) then 'auth' when status = 404 then 'model_unavailable' when status in (408, 409) then 'timeout' when status in (413, 422) then 'context_length'
+    when status = 429 then 'rate_limit' when status >= 500 then 'server' when status >= 400 then 'invalid_request'
+    when code = 'EPIPE' or said like '%fetch failed%' or said like '%socket hang up%' or said like '%network%' then 'network'
+    when said like '%timed out%' or said like '%timeout%' or said like '%time out%' then 'timeout' else 'unknown' end"""
 
 
-@query("A3_F87_F89_errors_by_kind", f"""select kind, kind not in ('auth', 'quota', 'model_not_found', 'context_length', 'content_filter', 'bad_request') as retryable, kind <> 'bad_request' as fallbackable, count(*)::bigint as n
-    from (select {_KIND} as kind from ({_DUCK})) group by kind""")
+@query("A3_F87_F89_errors_by_kind", f"""select kind, kind in ('rate_limit', 'timeout', 'network', 'server', 'response_format') as retryable, kind <> 'invalid_request' as fallbackable, count(*)::bigint as n
+    from (select {_KIND} as kind from (select *, lower(coalesce(code, '') || ' ' || coalesce(message, '')) as said from ({plain(ERRORS)}))) group by kind""")
 def errors_by_kind(t: Tables) -> DataFrame:
-    k = t.sql(ATTEMPTS).groupBy(journal.error_kind(F.col("message"), F.col("status")).alias("kind")).agg(F.count("*").alias("n"))
+    k = t.sql(ERRORS).groupBy(journal.error_kind(F.col("message"), F.col("status"), F.col("code")).alias("kind")).agg(F.count("*").alias("n"))
     d = journal.disposition(F.col("kind"))
     return k.select("kind", d["retryable"].alias("retryable"), d["fallbackable"].alias("fallbackable"), "n").orderBy(F.desc("n"), "kind")
 
 
-@query("F86_F88_retry_delays", f"""with r as (select seq, retry_after as h, seq % 8 + 1 as attempt from ({_DUCK})),
-    m as (select seq, attempt, case h when '250ms' then 250 when '1.5s' then 1500 when '2m' then 120000 when '7' then 7000 end::bigint as wish from r)
+@query("F86_F88_retry_delays", f"""with m as (select seq, attempt, coalesce(
+        case retry_after when '7' then 7000 when '1.5' then 1500 when '-3' then 0 when 'Wed, 21 Oct 2015 07:28:00 GMT' then greatest(0, epoch_ms(timestamp '2015-10-21 07:28:00') - epoch_ms(ts))
+            when 'Fri, 01 Jan 2100 00:00:00 GMT' then greatest(0, epoch_ms(timestamp '2100-01-01') - epoch_ms(ts)) end,
+        case reset when '250ms' then 250 when '1.5s' then 1500 when '2m' then 120000 when '1h' then 3600000 when '20' then 20000 end)::bigint as wish from ({plain(ERRORS)}))
     select seq, wish as retry_after_ms, coalesce(least(30000, wish), least(30000, 1000 * 2 ** (attempt - 1)))::bigint as delay_ms from m""")
 def retry_delays(t: Tables) -> DataFrame:
-    wish = journal.retry_after_ms(F.col("retry_after"))
-    return t.sql(ATTEMPTS).select("seq", wish.alias("retry_after_ms"), journal.backoff_ms(F.col("seq") % 8 + 1, retry_after=wish).alias("delay_ms"))
+    wish = journal.retry_after_ms(F.col("retry_after"), F.col("ts"), F.col("reset"))
+    return t.sql(ERRORS).select("seq", wish.alias("retry_after_ms"), journal.backoff_ms(F.col("attempt"), retry_after=wish).alias("delay_ms"))
 
 
 @query("W7_failure_streaks", f"""with i as (select *, sum((outcome = 'success')::int) over (partition by target order by ts, seq) as island from ({_DUCK}))

@@ -35,7 +35,7 @@ def facts(t: Tables, sql: str = FACTS) -> DataFrame:
     return t.sql(sql).select("id", *[dossiers.normalized(F.col(f), f).alias(f) for f in _USED])
 
 
-@query("M6_M8_L8_S11_sanitized_facts", f"select id, forename, surname, born, jobs, ranking from {_CLEAN_A}")
+@query("M6_M8_L8_sanitized_facts", f"select id, forename, surname, born, jobs, ranking from {_CLEAN_A}")
 def sanitized(t: Tables) -> DataFrame:
     return facts(t)
 
@@ -60,7 +60,7 @@ def merged_chunks(t: Tables) -> DataFrame:
     return dossiers.merge_chunks(f, "grp", "chunk")
 
 
-@query("L6_L9_L11_F9_F10_gaps", f"""
+@query("L6_L11_F9_F10_gaps", f"""
     with d as (select id, born, case when id % 2 = 0 then jobs end as jobs from {_CLEAN_A})
     select id, 'born' as question from d where born is null union all select id, 'birthplace' from d union all select id, 'url' from d union all select id, 'jobs' from d where jobs is null
     union all select id, 'died' from d where 2026 - right(born, 4)::int >= 78 union all select id, 'refine:born' from d where length(born) < 10""")
@@ -125,7 +125,7 @@ def countries(t: Tables) -> DataFrame:
 # --- consumers -------------------------------------------------------------------------------------------------------
 
 
-@query("L14_L15_Q2_Q12_display_names", f"""
+@query("L14_L15_Q2_display_names", f"""
     with f as (select id, forename, surname from {_CLEAN_A}),
     l as (select id, list_filter([trim(concat_ws(' ', forename, surname)), surname, nullif(concat_ws(', ', surname, forename), '')], lambda x: x is not null and x <> '') as l from f)
     select id, array_to_string(list_filter(l, lambda x, i: list_position(list_transform(l, lambda z: lower(z)), lower(x)) = i), '|') as names, coalesce(l[1], id::varchar) as shown from l""")
@@ -150,7 +150,7 @@ def search(t: Tables) -> DataFrame:
 RESOURCES = """select page_id, case page_id % 6 when 0 then '^x/a.jpg' when 1 then '../b.jpg' when 2 then '../../../../c.jpg' when 3 then url when 4 then './d//e.txt' else '/f/../g.jpg' end as target, 'base/dir' as base, page_id % 101 as ranking from {pages}"""
 
 
-@query("Q3_Q4_Q5_Q6_Q9_Q10_resources", f"""select page_id, case page_id % 6 when 0 then '/x/a.jpg' when 1 then '/base/b.jpg' when 2 then '/c.jpg' when 3 then target when 4 then '/base/dir/d/e.txt' else '/g.jpg' end as resolved,
+@query("Q5_Q6_Q9_resources", f"""select page_id, case page_id % 6 when 0 then '/x/a.jpg' when 1 then '/base/b.jpg' when 2 then '/c.jpg' when 3 then target when 4 then '/base/dir/d/e.txt' else '/g.jpg' end as resolved,
     case when ranking >= 90 then 5 when ranking >= 75 then 4 when ranking >= 55 then 3 when ranking >= 35 then 2 else 1 end as stars,
     case when page_id % 6 in (0, 1, 2, 5) then 'image' when page_id % 6 = 4 then 'text' else 'link' end as shown_as from ({plain(RESOURCES)})""")
 def resources(t: Tables) -> DataFrame:

@@ -16,14 +16,14 @@ def shout(target: str, prompt: str) -> str:
     if target == "a" and len(prompt) % 3 == 0:
         raise gateway.CallError("server")
     if len(prompt) % 11 == 0:
-        raise gateway.CallError("bad_request")
+        raise gateway.CallError("invalid_request")
     return prompt.upper()
 
 
 @query("L1_L2_A8_X4_calls_with_fallback", """
     with p as (select p_partkey, length(p_name) as n, p_name from part)
     select p_partkey, case when n % 11 = 0 then null else upper(p_name) end as answer, (case when n % 33 = 0 then 4 when n % 11 = 0 then 1 when n % 3 = 0 then 4 else 1 end)::int as attempts,
-        case when n % 11 = 0 then 'bad_request' else 'success' end as outcome from p""")
+        case when n % 11 = 0 then 'invalid_request' else 'success' end as outcome from p""")
 def calls(t: Tables) -> DataFrame:
     got = gateway.ask(t.part, "p_partkey", "p_name", shout, ["a", "b"])
     return got.select("p_partkey", "answer", F.size("attempts").alias("attempts"), F.element_at("attempts", -1)["outcome"].alias("outcome"))
@@ -72,7 +72,7 @@ RAW = """select c_custkey as id, case c_custkey % 6 when 0 then '{{"title": "x",
     when 4 then '{{"catalog": {{"type": "composer", "img": "i"}}, "metadata": {{}}}}' else '{{bad' end as raw from {customer}"""
 
 
-@query("V6_V7_V19_M6a_M6b_raw_dossiers", """
+@query("V7_V19_M6a_M6b_raw_dossiers", """
     select c_custkey as id, case c_custkey % 6 when 0 then 'INV-7' when 1 then 'INV-19' when 2 then 'INV-7' when 3 then 'INV-19' when 4 then 'INV-7' else 'SCHEMA' end as invariant,
         case c_custkey % 6 when 0 then 'x' when 2 then 't' end as title, case c_custkey % 6 when 4 then 'composer' end as type from customer""")
 def raw_dossiers(t: Tables) -> DataFrame:
@@ -105,13 +105,27 @@ def capabilities(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", (F.size(F.array_except(need, cap)) == 0).alias("able"))
 
 
-@query("F56_report_formats", """select o_orderkey, case when o_totalprice >= 1e6 then printf('%.1fM', o_totalprice / 1e6) when o_totalprice >= 1e3 then printf('%.1fk', o_totalprice / 1e3) else printf('%.0f', o_totalprice) end as tokens,
-    printf('$%.4f', o_totalprice / 1e6) as cost, case when length(o_orderpriority) > 6 then o_orderpriority[1:5] || '…' else o_orderpriority end as label from orders""")
+def _fixed(x: str, digits: int) -> str:
+    """``printf`` rounds the exact value, ties to even; here ties, which are odd multiples of 2 ** -(digits + 1), go up."""
+    tie = f"({x}) * {2 ** (digits + 1)} = floor(({x}) * {2 ** (digits + 1)}) and ({x}) * {2**digits} <> floor(({x}) * {2**digits}) and ({x}) * {2 * 10**digits} = floor(({x}) * {2 * 10**digits})"
+    return f"printf('%.{digits}f', case when {tie} then ({x}) + {0.1 / 10**digits:.9f} else {x} end)"
+
+
+#: Token counts, costs, durations and labels of all magnitudes, ties among them.
+AMOUNTS = """select o_orderkey, o_orderpriority, cast(case o_orderkey % 4 when 0 then floor(o_totalprice) % 1000 when 1 then floor(o_totalprice) * 97 when 2 then floor(o_totalprice / 50) * 50 else floor(o_totalprice) end as bigint) as n,
+    cast(case o_orderkey % 5 when 0 then 0 when 1 then o_totalprice / 1e9 when 2 then floor(o_totalprice) / 32 else o_totalprice / 1e6 end as double) as usd,
+    cast(case o_orderkey % 3 when 0 then floor(o_totalprice) % 1000 + 0.5 when 1 then floor(o_totalprice) % 59900 else o_totalprice * 10 end as double) as ms from {orders}"""
+
+
+@query("F56_report_formats", f"""select o_orderkey, case when n < 1000 then n::varchar when n < 1000000 then {_fixed("n / 1000.0::double", 1)} || 'k' else {_fixed("n / 1000000.0::double", 2)} || 'M' end as tokens,
+    case when usd = 0 then '$0' when usd < 0.01 then '$' || {_fixed("usd", 5)} else '$' || {_fixed("usd", 4)} end as cost,
+    case when ms < 1000 then floor(ms + 0.5)::bigint || 'ms' when ms / 1000 < 60 then {_fixed("ms / 1000", 1)} || 's'
+        else floor(ms / 1000 / 60)::bigint || 'm ' || floor(ms / 1000 - floor(ms / 1000 / 60) * 60 + 0.5)::bigint || 's' end as duration,
+    case when length(o_orderpriority) > 6 then o_orderpriority[1:5] || '…' else o_orderpriority end as label from ({plain(AMOUNTS)})""")
 def formats(t: Tables) -> DataFrame:
-    n = F.col("o_totalprice")
-    tokens = F.when(n >= 1e6, F.format_string("%.1fM", n / 1e6)).when(n >= 1e3, F.format_string("%.1fk", n / 1e3)).otherwise(F.format_string("%.0f", n))
-    short = F.when(F.length("o_orderpriority") > 6, F.concat(F.left("o_orderpriority", F.lit(5)), F.lit("…"))).otherwise(F.col("o_orderpriority"))
-    return t.orders.select("o_orderkey", tokens.alias("tokens"), F.format_string("$%.4f", n / 1e6).alias("cost"), short.alias("label"))
+    return t.sql(AMOUNTS).select(
+        "o_orderkey", values.format_tokens(F.col("n")).alias("tokens"), values.format_cost(F.col("usd")).alias("cost"), values.format_duration(F.col("ms")).alias("duration"),
+        values.truncate(F.col("o_orderpriority"), 6).alias("label"))
 
 
 @query("Q7_Q11_listing", """select lower(c_mktsegment) as facet, count(*)::bigint as shown from customer where c_custkey % 11 <> 0 group by 1""")
@@ -124,7 +138,7 @@ def listing(t: Tables) -> DataFrame:
     return c.groupBy(F.lower("c_mktsegment").alias("facet")).agg(F.count("*").alias("shown"))
 
 
-@query("R7_R8_R11_run_status", """select user_id as run, case when count(*) filter (event_type = 'signup') > 0 then 'aborted' when count(*) filter (event_type = 'error') > 0 then 'failed' else 'completed' end as status from events group by user_id""")
+@query("R7_R8_run_status", """select user_id as run, case when count(*) filter (event_type = 'signup') > 0 then 'aborted' when count(*) filter (event_type = 'error') > 0 then 'failed' else 'completed' end as status from events group by user_id""")
 def run_status(t: Tables) -> DataFrame:
     c = F.col("event_type")
     return t.events.groupBy(F.col("user_id").alias("run")).agg(F.when(F.count_if(c == "signup") > 0, "aborted").when(F.count_if(c == "error") > 0, "failed").otherwise("completed").alias("status"))

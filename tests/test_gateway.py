@@ -16,11 +16,11 @@ def test_retry_then_fallback():
     assert seen == ["a", "a", "b"]
 
 
-def test_bad_requests_stop():
+def test_invalid_requests_stop():
     def call(target, prompt):
-        raise CallError("bad_request")
+        raise CallError("invalid_request")
 
-    assert complete(call, ["a", "b"], "x", Policy()) == (None, [("a", 1, "bad_request")])
+    assert complete(call, ["a", "b"], "x", Policy()) == (None, [("a", 1, "invalid_request")])
 
 
 def test_quota_moves_on_without_retry():
