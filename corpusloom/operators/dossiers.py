@@ -152,3 +152,78 @@ def resolve_resource(target: Column, base: Column) -> Column:
 
 def stars(ranking: Column) -> Column:
     return reduce(lambda x, kv: x.when(ranking >= kv[0], kv[1]), ((90, 5), (75, 4), (55, 3), (35, 2)), F.when(F.lit(False), 0)).otherwise(1)
+
+
+# --- items, plans and what a reader sees ---------------------------------------------------------------------------------
+
+
+def sanitized_items(raw: Column, documents: bool = False) -> Column:
+    """Media or document items of a JSON list: ``items`` (label, target, ``type`` of documents, ``rest`` of the members) and how
+    many were ``dropped`` for want of a label or a target. Of equal targets the first stays; the order is kept."""
+    entries = F.coalesce(F.from_json(raw, "array<string>"), F.array().cast("array<string>"))
+    own = ["label", "target"] + ["type"] * documents
+
+    def item(e: Column) -> Column:
+        m = F.coalesce(F.from_json(e, "map<string,string>"), F.create_map().cast("map<string,string>"))
+        return text.let(m, lambda m: F.struct(
+            text.text_or_null(F.element_at(m, "label")).alias("label"), values.target(text.text_or_null(F.element_at(m, "target"))).alias("target"),
+            (values.document_type(text.text_or_null(F.element_at(m, "type"))) if documents else F.lit(None).cast("string")).alias("type"),
+            F.sort_array(F.map_entries(F.map_filter(m, lambda k, v: ~k.isin(*own) & v.isNotNull()))).alias("rest")))
+
+    def judged(read: Column) -> Column:
+        good = F.filter(read, lambda x: x["label"].isNotNull() & x["target"].isNotNull())
+        return F.struct(text.distinct_by(good, lambda x: x["target"]).alias("items"), (F.size(read) - F.size(good)).alias("dropped"))
+
+    return text.let(F.transform(entries, item), judged)
+
+
+def extraction_plan(exists: Column, on_existing: str, missing: Column) -> Column:
+    """``create`` without a dossier, else as configured; completing one that lacks nothing asks nothing: ``nothing-left``."""
+    plan = F.when(~exists, "create").otherwise(F.lit(on_existing))
+    return F.when((plan == "complete") & (F.size(missing) == 0), "nothing-left").otherwise(plan)
+
+
+def edition(langs: Column, ui: Column) -> Column:
+    """The language an entry is read in: the reader's if there is such an edition, else the original, which comes first."""
+    return F.when(F.array_contains(langs, ui), ui).otherwise(F.get(langs, F.lit(0)))
+
+
+def _leave(path: Column, otherwise: Column) -> Column:
+    return F.when((path == "") | path.rlike("^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"), path).otherwise(otherwise)
+
+
+def catalogue_path(path: Column, base: str = "") -> Column:
+    return _leave(path, F.concat(F.lit(f"{base}/"), F.regexp_replace(path, "^/+", "")))
+
+
+def localized_path(path: Column, lang: Column) -> Column:
+    return _leave(path, F.concat(F.lit("/"), lang, F.lit("/"), F.regexp_replace(path, "^/+", "")))
+
+
+def portrait(img: Column, gender: Column) -> Column:
+    """The declared portrait, else the default one of the gender; none declared is mixed."""
+    default = F.when(gender == "m", "male").when(gender == "f", "female").otherwise("mixed")
+    return F.coalesce(img, F.concat(F.lit("photos/default-"), default, F.lit(".svg")))
+
+
+def monogram(slug: Column, name: Column) -> Column:
+    """What stands for a portrait that doesn't load: up to two initials, and a colour (degrees) that the slug decides."""
+    words = F.filter(F.split(name, "[^\\p{L}]+"), lambda w: w != "")
+    first, last = F.upper(F.left(F.get(words, F.lit(0)), F.lit(1))), F.when(F.size(words) > 1, F.upper(F.left(F.element_at(words, -1), F.lit(1))))
+    return F.struct(F.concat_ws("", first, last).alias("letters"), F.pmod(F.conv(F.left(F.md5(slug), F.lit(8)), 16, 10).cast("long"), F.lit(360)).cast("int").alias("hue"))
+
+
+def entry_kind(json: Column) -> Column:
+    """Declared, never inferred: an entry that names a dossier is a biography, even where that is missing."""
+    return F.when(json.isNotNull(), "biography").otherwise("page")
+
+
+def source_dossier(items: DataFrame, output: DataFrame, authored: DataFrame) -> DataFrame:
+    """``items`` (``item``) with the dossier to localize: this run's output, else the authored one beside the article, with
+    ``origin`` and a hash of its text. A file that isn't JSON counts as none."""
+    def readable(files: DataFrame, name: str) -> DataFrame:
+        return files.where(F.try_parse_json("raw").isNotNull()).select("item", F.col("raw").alias(name))
+
+    both = items.join(readable(output, "made"), "item", "left").join(readable(authored, "written"), "item", "left")
+    raw = F.coalesce("made", "written")
+    return both.select("item", F.when(F.col("made").isNotNull(), "output").when(F.col("written").isNotNull(), "source").alias("origin"), text.short_hash(raw, 12).alias("hash"))

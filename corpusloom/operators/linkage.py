@@ -75,6 +75,12 @@ def inverted(indexed: DataFrame) -> DataFrame:
         keys("phonetic", F.array_union("phonetics", F.transform("dir_tokens", text.phonetic_key)))).unionByName(keys("joined", F.col("joined"))).unionByName(keys("meta", meta)).distinct()
 
 
+def spellings(parts: Column) -> Column:
+    """Folded name parts as written, and romanized where they are Cyrillic, else in ASCII."""
+    other = lambda p: text.name_fold(F.when(text.has_cyrillic(p), text.romanize(p)).otherwise(text.to_ascii(p)))
+    return F.array_distinct(F.filter(F.concat(parts, F.transform(parts, other)), lambda p: p != ""))
+
+
 def name_query(names: DataFrame) -> DataFrame:
     """Arrays of a ``query`` (a name, ``first last``): surnames, forenames, phonetics, unsplit spellings, initials."""
     parts = F.filter(F.split(F.col("name"), "[\\s_-]+"), lambda p: p != "")
@@ -82,8 +88,9 @@ def name_query(names: DataFrame) -> DataFrame:
     n = F.size(fold)
     last = F.get(fold, n - 1)
     rest = F.filter(F.slice(fold, F.lit(1), n - 1), lambda t: ~text.is_particle(t))
+    surnames, forenames = spellings(F.array(last)), spellings(rest)
     return names.select(
-        "query", F.array(last).alias("surnames"), rest.alias("forenames"), F.array_union(F.array(last), rest).alias("everything"), F.array(text.phonetic_key(last)).alias("phonetics"),
+        "query", surnames.alias("surnames"), forenames.alias("forenames"), F.array_union(surnames, forenames).alias("everything"), F.array_distinct(F.transform(surnames, text.phonetic_key)).alias("phonetics"),
         F.filter(F.array_distinct(F.array(F.array_join(fold, ""), F.concat(last, F.array_join(rest, "")))), lambda x: F.length(x) >= 4).alias("joined"),
         F.transform(F.array_union(F.array(last), rest), lambda t: F.left(t, F.lit(1))).alias("initials"),
     )

@@ -78,8 +78,8 @@ def errors_by_kind(t: Tables) -> DataFrame:
 
 
 @query("F86_F88_retry_delays", f"""with m as (select seq, attempt, coalesce(
-        case retry_after when '7' then 7000 when '1.5' then 1500 when '-3' then 0 when 'Wed, 21 Oct 2015 07:28:00 GMT' then greatest(0, epoch_ms(timestamp '2015-10-21 07:28:00') - epoch_ms(ts))
-            when 'Fri, 01 Jan 2100 00:00:00 GMT' then greatest(0, epoch_ms(timestamp '2100-01-01') - epoch_ms(ts)) end,
+        case retry_after when '7' then 7000 when '1.5' then 1500 when '-3' then 0 when 'Wed, 21 Oct 2015 07:28:00 GMT' then greatest(0, epoch_us(timestamp '2015-10-21 07:28:00') // 1000 - epoch_us(ts) // 1000)
+            when 'Fri, 01 Jan 2100 00:00:00 GMT' then greatest(0, epoch_us(timestamp '2100-01-01') // 1000 - epoch_us(ts) // 1000) end,
         case reset when '250ms' then 250 when '1.5s' then 1500 when '2m' then 120000 when '1h' then 3600000 when '20' then 20000 end)::bigint as wish from ({plain(ERRORS)}))
     select seq, wish as retry_after_ms, coalesce(least(30000, wish), least(30000, 1000 * 2 ** (attempt - 1)))::bigint as delay_ms from m""")
 def retry_delays(t: Tables) -> DataFrame:

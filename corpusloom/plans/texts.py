@@ -166,14 +166,6 @@ def planned_tasks(t: Tables) -> DataFrame:
     return tasks.join(count, "task_id", "left").select("pipeline", "item", "variant", "task_id", F.coalesce("dependencies", F.lit(0)).alias("dependencies"))
 
 
-@query("R6_W12_dependency_waves", "select * from (values ('extract', 0), ('translate', 0), ('portrait', 1), ('localize', 1), ('catalog', 2)) as w(pipeline, wave)")
-def waves(t: Tables) -> DataFrame:
-    """Waves of the pipelines by a recursive query: a wave is the longest way from a pipeline without needs."""
-    edges = t.spark.createDataFrame([(p, d) for p, ds in PIPELINES for d in (ds or (None,))], "pipeline string, needs string")
-    return t.spark.sql("""with recursive w as (select distinct pipeline, 0 as wave from {edges} where needs is null
-        union all select e.pipeline, w.wave + 1 from {edges} e join w on e.needs = w.pipeline) select pipeline, max(wave) as wave from w group by pipeline""", edges=edges)
-
-
 @query("J5_R5_R7_G6_resume", """
     select doc_id, case when quality = 1 and toxic = 0 then 'resume' when quality = 1 then 'existing-output' else 'planned' end as state from documents left join labels using (doc_id)""")
 def resume(t: Tables) -> DataFrame:
