@@ -104,12 +104,31 @@ def journal_sequence(t: Tables) -> DataFrame:
     return journal.numbered(t.sql(ATTEMPTS), "run", "ts", "seq").select("seq", "run", "seq_no")
 
 
-@query("W8_circuit_breaker")
+#: Attempts of each target in order, for step-by-step replays in recursive SQL.
+_STEPS = f"o as (select target, seq, outcome, epoch_us(ts) / 1e6 as moment, row_number() over (partition by target order by ts, seq) as n from ({_DUCK}))"
+
+
+@query("W8_circuit_breaker", f"""
+    with recursive {_STEPS},
+    r as (select distinct target, 0::bigint as n, null::bigint as seq, 'closed' as state, 0 as failures, 0.0::double as opened, 0 as used, null::varchar as shown, null::boolean as passed from o
+        union all select target, n, seq, case when not ok then s1 when outcome = 'success' then 'closed' when s1 = 'half-open' or failures + 1 >= 3 then 'open' else s1 end,
+            case when not ok then failures when outcome = 'success' or s1 = 'half-open' or failures + 1 >= 3 then 0 else failures + 1 end,
+            case when ok and outcome <> 'success' and (s1 = 'half-open' or failures + 1 >= 3) then moment else opened end, u1 + case when ok and s1 = 'half-open' then 1 else 0 end, s1, ok
+        from (select *, s1 = 'closed' or (s1 = 'half-open' and u1 < 1) as ok from (select o.*, r.failures, r.opened,
+            case when r.state = 'open' and o.moment - r.opened >= 600 then 'half-open' else r.state end as s1, case when r.state = 'open' and o.moment - r.opened >= 600 then 0 else r.used end as u1
+            from r join o on o.target = r.target and o.n = r.n + 1)))
+    select target, seq, shown as state, passed from r where n > 0""")
 def circuit_breaker(t: Tables) -> DataFrame:
     return journal.breaker(t.sql(ATTEMPTS))
 
 
-@query("W9_token_bucket")
+@query("W9_token_bucket", f"""
+    with recursive {_STEPS},
+    r as (select distinct target, 0::bigint as n, null::bigint as seq, 3.0::double as level, null::double as last, null::bigint as wait_ms from o
+        union all select target, n, seq, case when wait = 0 then l1 - 1 else 0 end, now + wait, round((now + wait - moment) * 1000)::bigint
+        from (select *, case when l1 >= 1 then 0.0::double else (1 - l1) / (2.0::double / 60) end as wait from (select o.target, o.n, o.seq, o.moment, greatest(o.moment, coalesce(r.last, o.moment)) as now,
+            case when r.last is null then r.level else least(3.0::double, r.level + (greatest(o.moment, r.last) - r.last) * (2.0::double / 60)) end as l1 from r join o on o.target = r.target and o.n = r.n + 1)))
+    select target, seq, wait_ms from r where n > 0""")
 def token_bucket(t: Tables) -> DataFrame:
     return journal.token_bucket(t.sql(ATTEMPTS), per_minute=2.0, burst=3.0)
 

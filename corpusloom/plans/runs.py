@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +52,16 @@ def translated(t: Tables) -> DataFrame:
     return gateway.translate_units(units.unionByName(wordless), memory, shout, ["a", "b"])[0]
 
 
-@query("L16_L17_U17_translation_pipeline", "select doc_id, true as same_structure, true as restored from documents")
+_SWAP = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ')".format
+
+
+@query("L16_L17_U17_translation_pipeline", f"""
+    select doc_id, md5('# ' || {_SWAP("'Doc ' || doc_id")} || chr(10) || chr(10) || '::: image' || chr(10) || 'src: img/' || doc_id || '.jpg' || chr(10) || 'caption: ' || {_SWAP("'A *photo* of ' || source")} || chr(10) || ':::' || chr(10) || chr(10)
+        || {_SWAP("coalesce(text, '')")} || chr(10) || chr(10) || '## wORKS' || chr(10) || '| pIECE | tAB |' || chr(10) || '|---|---|' || chr(10) || '| ' || {_SWAP("'Étude '")} || (doc_id % 7) || ' | [' || {_SWAP("lang")} || '](music/' || (doc_id % 9) || '.mid) |' || chr(10)
+        || chr(10) || '```' || chr(10) || '::: image' || chr(10) || '[x](y.mp3)' || chr(10) || '```' || chr(10) || '> A [LINK](https://x.org/' || source || ' "T")' || chr(10) || '- ITEM' || chr(10) || '1. ONE' || chr(10) || '---') as translated,
+        true as same_structure, true as restored from documents""")
 def translation_pipeline(t: Tables) -> DataFrame:
-    """Spans of each article translated, put back, and its structure compared with the source's."""
+    """Spans of each article translated (letters of the other case), put back, and its structure compared with the source's."""
     from .texts import articles
 
     turn = str.maketrans({**{chr(c): chr(c + 32) for c in range(65, 91)}, **{chr(c + 32): chr(c) for c in range(65, 91)}})
@@ -63,9 +72,9 @@ def translation_pipeline(t: Tables) -> DataFrame:
 
     def rows(x: str) -> list[tuple]:
         made = swapped(x)
-        return [(not markdown.differences(x, made), swapped(made) == x)]
+        return [(hashlib.md5(made.encode()).hexdigest(), not markdown.differences(x, made), swapped(made) == x)]
 
-    return markdown.generate(articles(t), "doc_id", "body", rows, "same_structure boolean, restored boolean")
+    return markdown.generate(articles(t), "doc_id", "body", rows, "translated string, same_structure boolean, restored boolean")
 
 
 RAW = """select c_custkey as id, case c_custkey % 6 when 0 then '{{"title": "x", "born": "1893"}}' when 1 then '[1]' when 2 then '{{"metadata": {{"title": "t", "url": "u"}}}}' when 3 then '{{"metadata": 5}}'

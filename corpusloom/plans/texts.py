@@ -29,7 +29,20 @@ _BLOCKS = """
         (select *, i - row_number() over (partition by doc_id order by i) as g from l where regexp_matches(line, '[^\\s\\pZ]')) group by doc_id, g"""
 
 
-@query("U1_blocks")
+@query("U1_blocks", f"""
+    with a as (select doc_id, '# Doc ' || doc_id as h, '::: image' || chr(10) || 'src: img/' || doc_id || '.jpg' || chr(10) || 'caption: A *photo* of ' || source || chr(10) || ':::' as c, length(coalesce(text, '')) as n,
+        length('| Piece | Tab |' || chr(10) || '|---|---|' || chr(10) || '| Étude ' || (doc_id % 7) || ' | [' || lang || '](music/' || (doc_id % 9) || '.mid) |') as t,
+        length('> a [link](https://x.org/' || source || ' "t")' || chr(10) || '- item' || chr(10) || '1. one') as l, length('```' || chr(10) || '::: image' || chr(10) || '[x](y.mp3)' || chr(10) || '```') as f from documents),
+    p as (select *, length(h) + 2 as o1, length(h) + 2 + length(c) + 2 as o2, length(h) + 2 + length(c) + 2 + n + 2 as w from a),
+    q as (select *, w + 9 as tab, w + 9 + t + 2 as fen, w + 9 + t + 2 + f + 1 as tail from p)
+    select doc_id, 'heading' as kind, 0::bigint as start, length(h)::bigint as "end", null::varchar as name, 1::int as level from q
+    union all select doc_id, 'container', o1, o1 + length(c), 'image', null from q
+    union all select b.doc_id, b.kind, b.start + o2, b."end" + o2, null, null from ({_BLOCKS}) b join q using (doc_id)
+    union all select doc_id, 'heading', w, w + 8, null, 2 from q
+    union all select doc_id, 'text', tab, tab + t, null, null from q
+    union all select doc_id, 'fence', fen, fen + f, null, null from q
+    union all select doc_id, 'text', tail, tail + l, null, null from q
+    union all select doc_id, 'rule', tail + l + 1, tail + l + 4, null, null from q""")
 def text_blocks(t: Tables) -> DataFrame:
     return markdown.generate(articles(t), "doc_id", "body", lambda x: [(b.kind, b.start, b.end, b.name, b.level) for b in markdown.blocks(x)],
                              "kind string, start bigint, end bigint, name string, level int")
