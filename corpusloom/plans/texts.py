@@ -86,7 +86,9 @@ def skeletons(t: Tables) -> DataFrame:
     return markdown.generate(articles(t), "doc_id", "body", rows, "tokens int, same_as_itself boolean, same_flattened boolean")
 
 
-@query("U18_U19_U20_text_spans")
+@query("U18_U19_U20_text_spans", """
+    with l as (select doc_id, len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\s\\pZ]'))) as p from documents)
+    select doc_id, kind, n::int as n, masks::int as masks, true as restored from l, lateral (values ('attribute', 1, 0), ('heading', 2, 0), ('listItem', 2, 0), ('paragraph', p, 0), ('quote', 1, 1), ('tableCell', 4, 1)) k(kind, n, masks) where n > 0""")
 def text_spans(t: Tables) -> DataFrame:
     """Spans by kind, and whether translating each to upper case and back gives the article again."""
     def rows(x: str) -> list[tuple]:
