@@ -72,6 +72,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+_SMALL_GROUPS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.block.size": str(16 << 20)}
+
+
 class Scratch:
     """Tables of one phase of one call, in the shared folder; all but the kept ones go when the phase ends, also on errors."""
 
@@ -86,10 +89,13 @@ class Scratch:
             delete_path(self.spark, path)
 
     def write(self, df: DataFrame) -> DataFrame:
-        """``df`` as a Parquet table: lineage ends there, and lost executors cost no recomputation."""
+        """``df`` as a Parquet table: lineage ends there, and lost executors cost no recomputation.
+
+        Row groups are small and not read by ranges: such reads copy whole column chunks through native buffers, which
+        each thread keeps, so an executor's memory beyond its heap would grow with the size of a row group."""
         path = shared_dir(self.spark)
-        df.write.mode("append").option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
+        df.write.mode("append").options(**_SMALL_GROUPS).parquet(path)
+        out = self.spark.read.schema(df.schema).option("parquet.hadoop.vectored.io.enabled", "false").parquet(path)
         self.tables[id(out)] = out, path
         return out
 
