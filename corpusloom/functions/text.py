@@ -151,7 +151,7 @@ def split_tokens(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "[\\s_\\-.+()\\[\\]]+"), name_fold), lambda x: x != "")
 
 
-#: Digraphs on which transliterations disagree, in the order they collapse.
+#: Digraphs on which transliterations disagree, in the order they collapse.
 PHONETIC = (
     ("sch|shch", "sh"), ("tsch|tsh", "ch"), ("ph", "f"), ("th", "t"), ("ck", "k"), ("qu", "kv"), ("[qk]", "k"), ("x", "ks"),
     ("w", "v"), ("[yj]", "i"), ("z", "s"), ("(.)\\1+", "$1"),
@@ -159,12 +159,17 @@ PHONETIC = (
 
 
 def phonetic_key(c: Column) -> Column:
-    """A key that is the same for usual transliterations of a name: digraphs collapse and inner vowels go."""
-    key = name_fold(c)
-    short = reduce(lambda x, ab: F.regexp_replace(x, *ab), PHONETIC, key)
-    inner = F.regexp_replace(F.substr(short, F.lit(2), F.length(short) - 2), "[aeiou]", "")
-    latin = F.when(F.length(short) <= 2, short).otherwise(F.concat(F.left(short, F.lit(1)), inner, F.right(short, F.lit(1))))
-    return F.when(has_cyrillic(key), key).otherwise(latin)
+    """A key that is the same for usual transliterations of a name: digraphs collapse and inner vowels go. The folded name
+    and its short form are computed once; their lambdas are interpreted, not compiled, which costs less than repeats."""
+
+    def framed(short: Column) -> Column:
+        inner = F.regexp_replace(F.substr(short, F.lit(2), F.length(short) - 2), "[aeiou]", "")
+        return F.when(F.length(short) <= 2, short).otherwise(F.concat(F.left(short, F.lit(1)), inner, F.right(short, F.lit(1))))
+
+    def keyed(key: Column) -> Column:
+        return F.when(has_cyrillic(key), key).otherwise(let(reduce(lambda x, ab: F.regexp_replace(x, *ab), PHONETIC, key), framed))
+
+    return let(name_fold(c), keyed)
 
 
 def deslug(c: Column) -> Column:

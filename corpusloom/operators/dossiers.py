@@ -103,7 +103,7 @@ def spelled_places(entries: DataFrame, countries: DataFrame, most: int = 120) ->
     tail, head = F.trim(F.regexp_extract("__value", "([^,]*)$", 1)), F.trim(F.regexp_extract("__value", "^(.*),", 1))
     token = F.when(tail.rlike("^[A-Za-z]{2,3}$") & ((head != "") | ~F.contains("__value", F.lit(","))), F.lower(tail))
     found = p.withColumn("__head", head).withColumn("__token", token).join(
-        F.broadcast(codes), (c("__token") == c("__code")) & ((F.length("__token") == 3) | (F.lower("known") == c("__iso"))), "left")
+        codes, (c("__token") == c("__code")) & ((F.length("__token") == 3) | (F.lower("known") == c("__iso"))), "left")
     place = F.when(c("__name").isNull(), c("__value")).when(c("__head") == "", c("__name")).otherwise(F.concat_ws(", ", "__head", "__name"))
     return found.withColumn("place", place).drop("__value", "__head", "__token", "__iso", "__code", "__name")
 
@@ -138,7 +138,7 @@ def search(names: DataFrame, queries: DataFrame) -> DataFrame:
     )
     best = hits.groupBy("query", "id", "w").agg(F.max(score * c("weight")).alias("s"))
     asked = words.groupBy("query").agg(F.count("*").alias("asked"))
-    return best.groupBy("query", "id").agg(F.sum("s").alias("score"), F.count("*").alias("found")).join(F.broadcast(asked), "query").where("found = asked").select("query", "id", "score")
+    return best.groupBy("query", "id").agg(F.sum("s").alias("score"), F.count("*").alias("found")).join(asked, "query").where("found = asked").select("query", "id", "score")
 
 
 def resolve_resource(target: Column, base: Column) -> Column:

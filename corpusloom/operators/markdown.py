@@ -270,6 +270,7 @@ class Span:
     masks: dict[str, str]
 
 
+# What is masked and how, and line prefixes.
 _TARGET = re.compile(r'(!?\[[^\]]*\]\()([^)\s]+)((?:\s+"[^"]*")?\))')
 _PREFIXES = ((re.compile(r"\s*#{1,6}\s+"), "heading"), (re.compile(r"\s*>\s?"), "quote"), (re.compile(r"\s*(?:[-*+]|\d+[.)])\s+"), "listItem"))
 

@@ -115,11 +115,11 @@ def countries(t: Tables) -> DataFrame:
     keys = d.select(F.explode(F.array(key("code"), key("code3"), key("alias"), key("name"))).alias("k"), "code")
     sole = keys.groupBy("k").agg(F.min("code").alias("code"), F.countDistinct("code").alias("n")).where("n = 1").drop("n")
     places = t.sql(PLACES).select("c_custkey", text.country_key(F.col("raw")).alias("k"))
-    exact = places.join(F.broadcast(sole), "k", "left")
+    exact = places.join(sole, "k", "left")
     prefix = sole.select("code", F.explode(F.transform(F.sequence(F.greatest(F.lit(4), F.length("k") - 3), F.greatest(F.lit(4), F.length("k") - 1)), lambda n: F.left("k", n))).alias("p"))
     once = prefix.groupBy("p").agg(F.min("code").alias("by_prefix"), F.countDistinct("code").alias("n")).where("n = 1").drop("n")
-    found = exact.join(F.broadcast(once), exact["k"] == once["p"], "left").withColumn("code", F.coalesce("code", "by_prefix"))
-    return found.join(F.broadcast(d.select("code", "name")), "code", "left").select("c_custkey", "code", "name")
+    found = exact.join(once, exact["k"] == once["p"], "left").withColumn("code", F.coalesce("code", "by_prefix"))
+    return found.join(d.select("code", "name"), "code", "left").select("c_custkey", "code", "name")
 
 
 # --- consumers -------------------------------------------------------------------------------------------------------

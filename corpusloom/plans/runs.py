@@ -162,7 +162,7 @@ def cost_preview(t: Tables) -> DataFrame:
     m = t.sql(TARGETS).groupBy("pool").agg(F.min(F.col("price").cast("double")).alias("price"))
     zero = F.lit(0)
     cost = journal.cost(F.col("tokens"), zero, F.lit(1024), zero, F.col("price"), F.col("price") * 4)
-    return t.sql(REQUESTS).join(F.broadcast(m), "pool").groupBy("pool").agg(F.count("*").alias("tasks"), F.round(F.sum(cost), 6).alias("cost"))
+    return t.sql(REQUESTS).join(m, "pool").groupBy("pool").agg(F.count("*").alias("tasks"), F.round(F.sum(cost), 6).alias("cost"))
 
 
 @query("R14_routing_preview", f"""select pool, target, row_number() over (partition by pool order by usable < 4000, case when usable < 4000 then -usable end, price, weight desc, pos)::int as rank, usable < 4000 as overflows
