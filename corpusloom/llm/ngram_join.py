@@ -18,7 +18,8 @@ verified, exactly on the sets, against one leader. What a member and its leader
 about pairs of members: their symmetric difference is that of their differences. Members that their leader doesn't link
 are tested against the first of them, and so on for ``ROUNDS`` rounds, so a family with an odd leader finds one of its own.
 A round's linked and unlinked members, and what is unlinked after the last one, are joined by the tokens of their
-differences, under the prefix and position bounds of the overlap that a link needs, and these candidates are verified.
+differences, under the prefix and position bounds of the overlap that a link needs, unless the links found so far connect
+them, and these candidates are verified.
 So no link is lost, a group of near copies costs a verification for each member and round and a few more, and equal
 sets, one class from the start, none.
 
@@ -309,18 +310,22 @@ def _links(docs: DataFrame, signing: DataFrame, spec: Spec, schemes: tuple[Schem
     members = _shared(_rarest(second))
     pairs = tmp.write(members.where("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
     release(spark)
-    links, found = [], [_needy(signing), _needy(second)]
+    links, rounds = [], []
     for r in range(ROUNDS):
-        tested = tmp.write(verify(docs, pairs, spec, tmp, apart=True))
-        links.append(tested.where("t is null and linked").select("a", "b"))
-        loose = tested.where("t is null and not linked").select(F.col("a").alias("star"), F.col("b").alias("node"))
+        rounds.append(tmp.write(verify(docs, pairs, spec, tmp, apart=True)))
+        links.append(rounds[-1].where("t is null and linked").select("a", "b"))
+        loose = rounds[-1].where("t is null and not linked").select(F.col("a").alias("star"), F.col("b").alias("node"))
         heads = loose.groupBy("star").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("star", "a")
         pairs = tmp.write(loose.join(heads, "star").where("a < node").select("a", F.col("node").alias("b")).distinct())
-        last = r + 1 == ROUNDS or pairs.isEmpty()
-        found.append(tmp.write(_among_members(tested, spec, tmp, last)))
         release(spark)
-        if last:
+        if pairs.isEmpty():
             break
+    # What is connected by now needs no more links.
+    labels = tmp.write(components(reduce(DataFrame.union, links), tmp).select("node", "component"))
+    found = [_needy(signing), _needy(second)]
+    for i, tested in enumerate(rounds):
+        found.append(tmp.write(_among_members(tested, labels, spec, tmp, i + 1 == len(rounds))))
+        release(spark)
     rest = tmp.write(reduce(DataFrame.union, found).distinct())
     if not rest.isEmpty():
         links.append(verify(docs, rest, spec, tmp).where("linked").select("a", "b"))
@@ -342,13 +347,14 @@ def _most(spec: Spec, a: Column, b: Column) -> Column:
     return a + b - 2 * F.ceil(spec.num * (a + b) / F.lit(spec.num + spec.den))
 
 
-def _among_members(tested: DataFrame, spec: Spec, tmp: Scratch, last: bool) -> DataFrame:
+def _among_members(tested: DataFrame, labels: DataFrame, spec: Spec, tmp: Scratch, last: bool) -> DataFrame:
     """Candidate pairs of members of one leader that it doesn't link both; before the ``last`` round only those of which it
-    links one, because the others meet again. With differences of sizes ``x`` and ``y`` and at most ``m`` tokens apart, a
-    link needs ``o = (x + y - m) / 2`` common tokens; in the order of rarity the first common one is then among the first
-    ``x - o + 1`` of one and ``y - o + 1`` of the other."""
+    links one, because the others meet again. Pairs of one component of ``labels`` are left out. With differences of sizes
+    ``x`` and ``y`` and at most ``m`` tokens apart, a link needs ``o = (x + y - m) / 2`` common tokens; in the order of
+    rarity the first common one is then among the first ``x - o + 1`` of one and ``y - o + 1`` of the other."""
     pairs = tested.where("t is null").select(F.col("a").alias("lead"), "linked", F.col("b").alias("node"), F.col("size_b").alias("n"), "x")
-    stars = pairs.groupBy("lead").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("loose")).where("n > 1 and loose > 0" if last else "n > loose and loose > 0").select("lead")
+    pairs = pairs.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    stars = pairs.groupBy("lead").agg(F.min("label").alias("first"), F.max("label").alias("second")).where("first < second").select("lead")
     reach = F.floor(F.col("n") * (spec.den - spec.num) / F.lit(spec.num)) + 1  # more than any partner of this size lets differ
     rows = pairs.join(stars, "lead", "left_semi").withColumn("reach", reach)
     if not last:  # a linked partner is within its own reach of the leader, so this one is within both
@@ -360,17 +366,17 @@ def _among_members(tested: DataFrame, spec: Spec, tmp: Scratch, last: bool) -> D
     ranked = tokens.join(often, ["lead", "t"]).withColumn("i", F.row_number().over(own.orderBy("df", "t"))).withColumn("shared", F.count("*").over(own))
     placed = tmp.write(
         ranked.join(rows, ["lead", "node"]).withColumn("place", F.col("x") - F.col("shared") + F.col("i")).where("place <= reach + 1")
-        .select("lead", "linked", "node", "n", "x", "place", "t")
+        .select("lead", "linked", "label", "node", "n", "x", "place", "t")
     )
     p, q = placed.alias("p"), placed.alias("q")
     need = F.ceil((F.col("p.x") + F.col("q.x") - _most(spec, F.col("p.n"), F.col("q.n"))) / F.lit(2))
-    loose = ~(F.col("p.linked") & F.col("q.linked")) if last else F.col("p.linked") != F.col("q.linked")
+    loose = (F.col("p.label") != F.col("q.label")) & (F.lit(last) | (F.col("p.linked") != F.col("q.linked")))
     near = (F.col("p.place") <= F.col("p.x") - need + 1) & (F.col("q.place") <= F.col("q.x") - need + 1)
     by_token = p.join(q, (F.col("p.lead") == F.col("q.lead")) & (F.col("p.t") == F.col("q.t")) & (F.col("p.node") < F.col("q.node")) & loose & near)
     # Differences so small that no token need be common: by their size.
-    small = rows.where(~F.col("linked") & (F.col("x") <= F.col("reach"))).select("lead", "node", "n", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("reach") - F.col("x"))).alias("y"))
-    r, z = rows.select("lead", "node", "n", "x", "linked").alias("r"), small.alias("z")
-    by_size = z.join(r, (F.col("z.lead") == F.col("r.lead")) & (F.col("z.y") == F.col("r.x")) & (F.col("z.node") != F.col("r.node")) & (F.lit(last) | F.col("r.linked"))
+    small = rows.where(~F.col("linked") & (F.col("x") <= F.col("reach"))).select("lead", "label", "node", "n", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("reach") - F.col("x"))).alias("y"))
+    r, z = rows.select("lead", "label", "node", "n", "x", "linked").alias("r"), small.alias("z")
+    by_size = z.join(r, (F.col("z.lead") == F.col("r.lead")) & (F.col("z.y") == F.col("r.x")) & (F.col("z.label") != F.col("r.label")) & (F.lit(last) | F.col("r.linked"))
                      & (F.col("z.x") + F.col("r.x") <= _most(spec, F.col("z.n"), F.col("r.n"))))
     return by_token.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).union(
         by_size.select(F.least("z.node", "r.node").alias("a"), F.greatest("z.node", "r.node").alias("b"))).distinct()

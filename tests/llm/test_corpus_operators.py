@@ -110,7 +110,7 @@ def test_candidates_of_a_family_with_an_odd_leader_are_bounded(spark, monkeypatc
     spec = ngram_join.Spec(3, 90, 100)
     got = ngram_join.cluster(frame(spark, rows), spec).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, spec)
-    assert sum(seen) < len(rows) ** 2 / 8
+    assert sum(seen) < 25 * len(rows)
 
 
 def test_bounds_of_linked_sizes():
