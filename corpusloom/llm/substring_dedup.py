@@ -265,23 +265,27 @@ def _by_automata(shown: DataFrame, window: int) -> DataFrame:
 
 
 def _by_windows(shown: DataFrame, window: int) -> DataFrame:
-    """The same for anchors with too many words: a shard for each window, counted by its 128-bit hash."""
-    fields = [("h", "bigint"), ("c", "bigint"), ("at", "bigint"), ("w", "binary")]
+    """The same for anchors with too many words: a shard for each window, counted by its 128-bit hash. A window that a
+    context repeats is one row, so periodic texts make no hot hash."""
+    fields = [("h", "bigint"), ("c", "bigint"), ("w", "binary"), ("n", "bigint"), ("at", "array<bigint>")]
 
     def make():
         def step(cols):
             out: dict[str, list] = {n: [] for n, _ in fields}
             for h, c, raw in zip(cols["h"], cols["c"], cols["raw"], strict=True):
+                places: dict[bytes, list[int]] = {}
                 for at in range(len(raw) // 8 - window + 1):
-                    for (n, _), v in zip(fields, (h, c, at, xxhash.xxh3_128_digest(raw[8 * at : 8 * (at + window)])), strict=True):
+                    places.setdefault(xxhash.xxh3_128_digest(raw[8 * at : 8 * (at + window)]), []).append(at)
+                for w, at in places.items():
+                    for (n, _), v in zip(fields, (h, c, w, len(at), at), strict=True):
                         out[n].append(v)
             return out
 
         return step
 
     every = map_columns(shown.select("h", "c", "raw"), make, fields)
-    again = every.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
-    return every.join(again, "w", "left_semi").select("h", "c", "at", F.lit(1).cast("bigint").alias("span"))
+    again = every.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
+    return every.join(again, "w", "left_semi").select("h", "c", F.explode("at").alias("at"), F.lit(1).cast("bigint").alias("span"))
 
 
 def _marked(df: DataFrame, text_col: str, window: int, k: int, shard: int) -> DataFrame:
