@@ -137,8 +137,15 @@ def upsert(rows: DataFrame, updates: DataFrame, default_type: str = "musician",
 
 
 def number_rows(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
-    """``df`` with 1, 2, 3 and so on in ``order``. The rows are range-partitioned; offsets come from one count a part."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    """``df`` with 1, 2, 3 and so on in ``order``. The rows are cut into parts at some thousand of their own keys, those with
+    the least hashes, so a row's part depends on the data alone: partition ids can differ between the two uses below, as
+    range bounds are sampled and partitions merged for each. Offsets come from one count a part."""
+    key, h = F.struct(*order), F.xxhash64(*order)
+    picked = df.groupBy(h.bitwiseAND(F.lit(1023)).alias("r")).agg(F.min(F.struct(h.alias("h"), key.alias("k")))["k"].alias("k"))
+    cuts = picked.agg(F.sort_array(F.collect_list("k")).alias("__cuts"))
+    steps = F.array(*[F.lit(1 << i) for i in range(9, -1, -1)])  # binary search
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("__cuts", at + step - 1) <= key, at + step).otherwise(at))
+    parts = df.crossJoin(F.broadcast(cuts)).withColumn("__p", place).drop("__cuts")
     counts = parts.groupBy("__p").count()
     offsets = counts.withColumn("__before", F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
     within = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
