@@ -38,6 +38,34 @@ def routed_chain(targets: DataFrame, tokens: int, margin: float = 0.9, reserve:
     return t.withColumn("rank", F.row_number().over(Window.partitionBy("pool").orderBy(*keys)))
 
 
+def first_choices(requests: DataFrame, targets: DataFrame, orders: dict[str, list[Column]], widest: tuple[str, ...] = ()) -> DataFrame:
+    """The target that each of ``orders`` puts first for a ``request`` (pool, tokens) among its pool's ``targets`` (usable, pos):
+    of those that fit, the first by the order's keys; if none fits, or the order is in ``widest``, of those with most room.
+
+    Requests never meet the targets of their pool. The best targets of each usable size run down from the largest size, so
+    the best that fit are one row for each size that is asked for; most room is the same targets for all sizes."""
+    c = F.col
+    keys = {n: F.struct(*[k.alias(f"k{i}") for i, k in enumerate(ks)], "target").alias(n) for n, ks in orders.items()}
+    known = targets.where(c("usable").isNotNull())
+    sizes = known.groupBy("pool", c("usable").alias("at")).agg(*[F.min(k).alias(n) for n, k in keys.items()], F.lit(False).alias("asked"))
+    asked = requests.select("pool", c("tokens").alias("at")).distinct().withColumn("asked", F.lit(True))
+    # A request without size comes last, after all targets.
+    down = Window.partitionBy("pool").orderBy(c("at").desc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = sizes.unionByName(asked, allowMissingColumns=True).withColumns({n: F.min(n).over(down) for n in keys}).where("asked").drop("asked")
+    roomy = targets.groupBy("pool").agg(*[
+        F.min(F.when(c("usable").isNotNull(), F.struct((-c("usable")).alias("less"), k))).alias(f"{n}__most") for n, k in keys.items()])
+    both = requests.alias("r").join(roomy, "pool").join(fitting.alias("f"), (c("r.pool") == c("f.pool")) & c("r.tokens").eqNullSafe(c("f.at")))
+
+    def choice(n: str) -> Column:
+        fit, most = c(f"f.{n}"), c(f"{n}__most")
+        of = lambda rank, less, key: F.struct(F.lit(rank).alias("rank"), less.alias("less"), key.alias("key"))
+        by_room = F.when(most.isNotNull(), of(1, c("r.tokens") + most["less"], most[n]))
+        no_room = of(0, F.lit(None).cast("long"), fit)
+        return F.when(c("r.tokens").isNull() & fit.isNotNull(), no_room).otherwise(by_room) if n in widest else F.when(fit.isNotNull(), no_room).otherwise(by_room)
+
+    return both.groupBy("r.request").agg(*[F.min(choice(n))["key"]["target"].alias(n) for n in keys])
+
+
 # Error kinds by message and provider code (lower case, first match first), by status, and by network code;
 # whether a kind is retried against the same target, and whether another target may help.
 MESSAGE_KINDS = (

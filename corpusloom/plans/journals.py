@@ -178,17 +178,12 @@ _FIT = "fits desc, case when not fits then headroom end desc"
     select request, max(target) filter (by_cost = 1) as by_cost, max(target) filter (by_context = 1) as by_context, max(target) filter (sequential = 1) as sequential,
         max(target) filter (least_failures = 1) as least_failures from o group by request""")
 def routing(t: Tables) -> DataFrame:
-    """First choice of each strategy. Targets of a pool are few, so they are broadcast; a choice is a minimum by key, which
-    combines before its shuffle, not a sort of all pairs."""
-    m = t.sql(TARGETS).withColumn("usable", journal.usable_tokens(F.col("window_size"), F.lit(0.9), F.lit(512), F.col("most_out")))
-    r = t.sql(REQUESTS).join(m, "pool")
-    head = F.col("usable") - F.col("tokens")
-    fit = (F.when(head >= 0, 0).otherwise(1).alias("f"), F.when(head < 0, -head).alias("h"))
-    first = lambda *keys: F.min_by("target", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
     c = F.col
-    return r.groupBy("request").agg(
-        first(*fit, c("price"), -c("weight"), c("pos")).alias("by_cost"), first(-head, c("price"), c("pos")).alias("by_context"),
-        first(*fit, c("pos")).alias("sequential"), first(*fit, c("failures"), c("price"), c("pos")).alias("least_failures"))
+    usable = journal.usable_tokens(c("window_size"), F.lit(0.9), F.lit(512), c("most_out"))
+    m = t.sql(TARGETS).withColumn("usable", F.when(c("window_size").isNotNull(), usable))
+    return journal.first_choices(t.sql(REQUESTS), m, {
+        "by_cost": [c("price"), -c("weight"), c("pos")], "by_context": [c("price"), c("pos")], "sequential": [c("pos")],
+        "least_failures": [c("failures"), c("price"), c("pos")]}, widest=("by_context",))
 
 
 @query("O8_W6_round_robin", f"""with m as (select *, row_number() over (partition by pool order by pos) - 1 as p, count(*) over (partition by pool) as n from ({plain(TARGETS)}))

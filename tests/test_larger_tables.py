@@ -47,3 +47,41 @@ def test_numbering_with_few_keys_many_times_and_none(spark):
     got = catalogue.number_rows(df, ["a", "b"]).orderBy("n").collect()
     assert [(r["a"], r["b"]) for r in got] == [(i % 3, i or None) for k in range(3) for i in range(k, 300, 3)]
     assert catalogue.number_rows(df.where("a > 5"), ["a", "b"]).count() == 0
+
+
+def most_join_rows(df):
+    """Rows that the largest join of ``df`` makes."""
+    df.collect()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            yield from walk(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            yield from walk(node.plan())
+        if "Join" in name and node.metrics().contains("numOutputRows"):
+            yield node.metrics().apply("numOutputRows").value()
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    return max(walk(df._jdf.queryExecution().executedPlan()))
+
+
+ROUTING = "O5_O6_O7_O9_O10_O11_J11_J12_routing"
+#: Two pools: 300 targets and one of little room, which most requests don't fit; 400 requests.
+PARTS = "select i::bigint as p_partkey, (i % 2)::int as p_size from range(400) r(i)"
+SUPPLIERS = "select i::bigint as s_suppkey, (case when i = 216 then 1 else 0 end)::int as s_nationkey from range(300) r(i)"
+
+
+def test_requests_do_not_meet_all_targets_of_their_pool(spark, tmp_path):
+    for name in (ROUTING,):
+        got, want = both(spark, tmp_path, name, part=PARTS, supplier=SUPPLIERS)
+        assert got == want and len(got) == 400
+        assert most_join_rows(QUERIES[name](Tables(spark, str(tmp_path)))) <= 800
+
+
+def test_routing_where_nothing_fits_or_keys_are_missing(spark, tmp_path):
+    parts = f"{PARTS} union all select null, 0 union all select null, 1 union all select 7, 0 union all select 8, null union all select 9, 3 union all select 11, 4"
+    suppliers = f"{SUPPLIERS} where i % 50 = 16 union all select null, 0 union all select null, 1 union all select 5, null union all select null, 4"
+    got, want = both(spark, tmp_path, ROUTING, part=parts, supplier=suppliers)
+    assert got == want
