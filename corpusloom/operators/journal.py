@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .catalogue import number_rows
+
 
 def cost(prompt: Column, cached: Column, completion: Column, reasoning: Column, price_in: Column, price_out: Column,
          price_cached: Column | None = None, price_reasoning: Column | None = None) -> Column:
@@ -66,6 +68,19 @@ def first_choices(requests: DataFrame, targets: DataFrame, orders: dict[str, lis
     return both.groupBy("r.request").agg(*[F.min(choice(n))["key"]["target"].alias(n) for n in keys])
 
 
+def in_turn(requests: DataFrame, targets: DataFrame) -> DataFrame:
+    """``request, target``: a pool's targets by ``pos`` take its requests in turn by ``seq``. Places are numbered, so a request
+    joins the one target whose turn it is."""
+    c = F.col
+    placed = number_rows(targets.where("pool is not null and pos is not null").select("pool", "pos", "target"), ["pool", "pos"])
+    sizes = targets.groupBy("pool").agg(F.count("*").alias("size"), F.count("pos").alias("named"))
+    pools = sizes.join(placed.groupBy("pool").agg(F.min("n").alias("first")), "pool", "left")
+    # Targets without place come last and give their turn to the first.
+    turn = F.pmod("seq", "size")
+    at = requests.join(pools, "pool").select("request", "pool", (c("first") + F.when(turn >= c("named"), 0).otherwise(turn)).alias("n"))
+    return at.join(placed.select("pool", "n", "target"), ["pool", "n"], "left").groupBy("request").agg(F.min("target").alias("target"))
+
+
 # Error kinds by message and provider code (lower case, first match first), by status, and by network code;
 # whether a kind is retried against the same target, and whether another target may help.
 MESSAGE_KINDS = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import journal
@@ -189,10 +189,7 @@ def routing(t: Tables) -> DataFrame:
 @query("O8_W6_round_robin", f"""with m as (select *, row_number() over (partition by pool order by pos) - 1 as p, count(*) over (partition by pool) as n from ({plain(TARGETS)}))
     select request, arg_min(target, (p - seq % n + n) % n) as target from ({plain(REQUESTS)}) r join m using (pool) group by request""")
 def round_robin(t: Tables) -> DataFrame:
-    pool = Window.partitionBy("pool")
-    m = t.sql(TARGETS).withColumn("p", F.row_number().over(pool.orderBy("pos")) - 1).withColumn("n", F.count("*").over(pool))
-    turn = (F.col("p") - F.col("seq") % F.col("n") + F.col("n")) % F.col("n")
-    return t.sql(REQUESTS).join(m, "pool").groupBy("request").agg(F.min_by("target", turn).alias("target"))
+    return journal.in_turn(t.sql(REQUESTS), t.sql(TARGETS))
 
 
 @query("A15_largest_window", f"select pool, max(floor(window_size * 0.9) - least(512, most_out))::bigint as usable from ({plain(TARGETS)}) group by pool")

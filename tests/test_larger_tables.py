@@ -67,14 +67,14 @@ def most_join_rows(df):
     return max(walk(df._jdf.queryExecution().executedPlan()))
 
 
-ROUTING = "O5_O6_O7_O9_O10_O11_J11_J12_routing"
+ROUTING, TURNS = "O5_O6_O7_O9_O10_O11_J11_J12_routing", "O8_W6_round_robin"
 #: Two pools: 300 targets and one of little room, which most requests don't fit; 400 requests.
 PARTS = "select i::bigint as p_partkey, (i % 2)::int as p_size from range(400) r(i)"
 SUPPLIERS = "select i::bigint as s_suppkey, (case when i = 216 then 1 else 0 end)::int as s_nationkey from range(300) r(i)"
 
 
 def test_requests_do_not_meet_all_targets_of_their_pool(spark, tmp_path):
-    for name in (ROUTING,):
+    for name in (ROUTING, TURNS):
         got, want = both(spark, tmp_path, name, part=PARTS, supplier=SUPPLIERS)
         assert got == want and len(got) == 400
         assert most_join_rows(QUERIES[name](Tables(spark, str(tmp_path)))) <= 800
@@ -85,3 +85,10 @@ def test_routing_where_nothing_fits_or_keys_are_missing(spark, tmp_path):
     suppliers = f"{SUPPLIERS} where i % 50 = 16 union all select null, 0 union all select null, 1 union all select 5, null union all select null, 4"
     got, want = both(spark, tmp_path, ROUTING, part=parts, supplier=suppliers)
     assert got == want
+
+
+def test_turns_where_keys_are_missing(spark, tmp_path):
+    parts = f"{PARTS} union all select null, 0 union all select 408, null union all select 409, 3 union all select 411, 4"
+    suppliers = f"{SUPPLIERS} where i % 50 = 16 union all select null, 0 union all select null, 1 union all select 5, null union all select null, 4"
+    got, want = both(spark, tmp_path, TURNS, part=parts, supplier=suppliers)
+    assert got == want
