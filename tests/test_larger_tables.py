@@ -92,3 +92,10 @@ def test_turns_where_keys_are_missing(spark, tmp_path):
     suppliers = f"{SUPPLIERS} where i % 50 = 16 union all select null, 0 union all select null, 1 union all select 5, null union all select null, 4"
     got, want = both(spark, tmp_path, TURNS, part=parts, supplier=suppliers)
     assert got == want
+
+
+def test_title_of_an_id_is_the_first_that_a_row_has(spark, tmp_path):
+    # Customer 276 has no title, and 277 has its id.
+    customer = "select i::bigint as c_custkey, 'Customer#' || i as c_name, 1 as c_nationkey, 'X' as c_mktsegment from range(270, 280) r(i)"
+    got, want = both(spark, tmp_path, "V12_V13_V14_V28_J2_name_rules", customer=customer, supplier="select i::bigint as s_suppkey, 'Supplier#' || i as s_name from range(136, 140) r(i)")
+    assert got == want and "('ru', '276', 'INV-12', 'error')" not in got
