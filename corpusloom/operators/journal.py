@@ -5,6 +5,7 @@ Attempts have ``seq, ts, target, call_id, outcome, latency_ms, prompt, cached, c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -219,7 +220,8 @@ def token_bucket(attempts: DataFrame, per_minute: float, burst: float, key: str
                 wait = 0.0 if level >= 1 else (1 - level) / rate
                 start = now + wait
                 level, last = (level - 1 if wait == 0 else 0.0), start
-                waits.append(round((start - at) * 1000))
+                ms = (start - at) * 1000
+                waits.append(math.floor(ms) + (ms - math.floor(ms) >= 0.5))  # half a millisecond is one, as SQL rounds
             yield pd.DataFrame({key: frame[key], "seq": frame["seq"], "wait_ms": waits})
 
     rows = attempts.select(key, "seq", F.col("ts").cast("timestamp").cast("double").alias("at"))

@@ -110,3 +110,11 @@ def test_units_with_the_same_key_or_other_white_space(spark, tmp_path):
     for name in ("J8_J9_A13_S10_K9_U23_translation_memory", "U22_A12_string_table", "W5_unit_batches"):
         got, want = both(spark, tmp_path, name, documents=DOCUMENTS)
         assert got == want, name
+
+
+def test_half_a_millisecond_of_waiting_is_rounded_up(spark, tmp_path):
+    # Three calls take the burst; the fourth comes 62.5 ms before the next token.
+    events = """select i::bigint as event_id, timestamp '2024-01-01' + interval (case when i = 3 then 29937500 else 0 end) microsecond as ts, 25::bigint as user_id, 'view' as event_type, 1.0::double as value,
+        '{"k": 1}' as props from range(4) r(i)"""
+    got, want = both(spark, tmp_path, "W9_token_bucket", events=events)
+    assert got == want and "(0, 3, 63)" in got
